@@ -101,7 +101,7 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 def candidates(text: Column) -> Column:
     """Long tokens of letters and digits, with the text before each: array<struct<start,end,m,before>>."""
-    some = F.filter(matches(text, CANDIDATE), lambda s: s["m"].rlike("[0-9]") & s["m"].rlike("[A-Za-z]"))
+    some = F.filter(matches(text, CANDIDATE), lambda s: (s["m"].rlike("[0-9]") & s["m"].rlike("[A-Za-z]")) | s["m"].rlike(f"^(?:{PREFIXES})[A-Z0-9]{{12,}}$"))
     return F.transform(some, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["m"].alias("m"), F.lower(F.substring(text, F.greatest(F.lit(1), s["start"] - BEFORE + 1), F.least(F.lit(BEFORE), s["start"]))).alias("before")))
 
 

@@ -1,4 +1,6 @@
 """Names of the queries and their SQL oracles."""
 
-QUERIES = {}
-ORACLES = {}
+from . import labeling
+
+QUERIES = dict(labeling.QUERIES)
+ORACLES = dict(labeling.ORACLES)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import prf, ratio, wilson
 from ..operators import decisions, match
+from ..operators.spans import let
 
 LEVELS = ("L3", "L4", "L5", "L6")
 
@@ -66,7 +67,6 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlapping spans at unequal places: (doc_id, o, n, ov, level_match, chain). Spans that meet share tokens, so a
     pair is a group of token positions; no span is compared with those it can't meet."""
     d = both(spark, sf_dir, match.rule_c)
-    rest = lambda x, y: F.filter(x, lambda s: ~F.array_contains(F.col("_same"), F.struct(s["start"], s["end"])))
     d = d.withColumn("_same", F.array_intersect(_plain("a"), _plain("b")))
     side = lambda x: F.flatten(F.transform(x, lambda s: F.transform(F.sequence(s["start"], s["end"] - 1), lambda i: F.struct(i.alias("i"), s["start"].alias("start"), s["level"].alias("level")))))
     left = d.select("doc_id", "_same", F.explode(side(F.col("a"))).alias("o")).select("doc_id", F.col("o.i").alias("i"), F.col("o.start").alias("o"), F.col("o.level").alias("lo"))
@@ -123,10 +123,10 @@ FROM (SELECT DISTINCT lang FROM documents) LEFT JOIN x USING (lang) LEFT JOIN na
 def iob2_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per level: tags, and I- tags whose predecessor has another level, when every run of rule b is tagged I- from a
     token with a capital on."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", match.tokens(F.col("text")).alias("w"))
-    tag = F.transform("w", lambda t: F.when(match.rule_b(t) == "O", "O").otherwise(F.concat(F.when(t.rlike("^[A-Z]"), "I-").otherwise("B-"), match.rule_b(t))))
-    d = docs.select(tag.alias("t"))
-    rows = d.select(F.explode(F.transform("t", lambda x, i: F.struct(F.substring(x, 3, 2).alias("level"), (x.startswith("I-") & (F.substring(F.coalesce(F.get("t", i - 1), F.lit("O")), 3, 2) != F.substring(x, 3, 2))).alias("bad")))).alias("r")).select("r.*")
+    tag = lambda w: F.transform(w, lambda t: F.when(match.rule_b(t) == "O", "O").otherwise(F.concat(F.when(t.rlike("^[A-Z]"), "I-").otherwise("B-"), match.rule_b(t))))
+    level = lambda x: F.substring(x, 3, 2)
+    marks = lambda t: F.transform(t, lambda x, i: F.struct(level(x).alias("level"), (x.startswith("I-") & (level(F.coalesce(F.get(t, i - 1), F.lit("O"))) != level(x))).alias("bad")))
+    rows = read(spark, sf_dir, "documents").select(F.explode(let(tag(match.tokens(F.col("text"))), marks)).alias("r")).select("r.*")
     return rows.filter("level <> ''").groupBy("level").agg(F.count("*").alias("n_tags"), F.count_if("bad").alias("n_bad"))
 
 
@@ -217,7 +217,7 @@ _SUGGEST = f"SELECT min(t) AS t FROM ({_SWEEP}) WHERE precision >= 0.5 AND suppo
 
 def retrain_recommendation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status and reasons per language from the confirmed share of cases."""
-    g = _cases(spark, sf_dir).groupBy("lang").agg(F.count("*").alias("n"), F.count_if((F.col("decision") == "deepseek_better") & (F.col("severity") >= 0.3)).alias("k"), F.count_if("decision = 'x'" if False else F.col("decision") == "deepseek_better").alias("kb"))
+    g = _cases(spark, sf_dir).groupBy("lang").agg(F.count("*").alias("n"), F.count_if((F.col("decision") == "deepseek_better") & (F.col("severity") >= 0.3)).alias("k"), F.count_if(F.col("decision") == "deepseek_better").alias("kb"))
     status, reasons = decisions.recommend(F.col("n"), F.col("k"), F.col("n"), F.col("kb"), {"min_cases": 100, "overall": 0.05, "min_slice": 20, "slice": 0.2})
     return g.select("lang", "n", "k", status.alias("status"), F.array_join(reasons, ",").alias("reasons"))
 
@@ -233,8 +233,10 @@ SELECT lang, n, k, CASE WHEN a OR b THEN 'retrain' WHEN n < 100 THEN 'insufficie
 
 def multiset_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per language: multiset intersection of (level, text of the span) of the two labelings, exact documents, micro F1."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", match.tokens(F.col("text")).alias("w"))
-    side = lambda rule: docs.select("doc_id", F.explode(F.transform(match.runs_of(F.transform("w", rule)), lambda s: F.struct(s["level"].alias("level"), F.lower(F.array_join(F.slice("w", s["start"] + 1, s["end"] - s["start"]), " ")).alias("txt")))).alias("x")).select("doc_id", "x.*")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    entity = lambda w, s: F.struct(s["level"].alias("level"), F.lower(F.array_join(F.slice(w, s["start"] + 1, s["end"] - s["start"]), " ")).alias("txt"))
+    spans = lambda w, rule: let(F.transform(w, rule), lambda labels: F.transform(match.runs_of(labels), lambda s: entity(w, s)))
+    side = lambda rule: docs.select("doc_id", F.explode(let(match.tokens(F.col("text")), lambda w: spans(w, rule))).alias("x")).select("doc_id", "x.*")
     m = match.multiset_scores(side(match.rule_a), side(match.rule_b), "doc_id", "level", "txt")
     g = docs.select("doc_id", "lang").join(m, "doc_id", "left").groupBy("lang").agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("tp", "n_pred", "n_gold")), F.count_if(F.coalesce("exact", F.lit(True))).alias("n_exact"))
     return g.withColumn("f1", F.round(2.0 * F.col("tp") / F.nullif(F.col("n_pred") + F.col("n_gold"), F.lit(0)), 6))

@@ -1,6 +1,6 @@
 """Names of the queries and their SQL oracles."""
 
-from . import labeling
+from . import curation, labeling
 
-QUERIES = dict(labeling.QUERIES)
-ORACLES = dict(labeling.ORACLES)
+QUERIES = {**labeling.QUERIES, **curation.QUERIES}
+ORACLES = {**labeling.ORACLES, **curation.ORACLES}

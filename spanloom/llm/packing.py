@@ -17,6 +17,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,22 +34,38 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 class Tokens:
     """Ids of texts as little-endian 32-bit bytes, equal to tokenizers' encode(add_special_tokens=False).
 
-    A pre-token's ids depend on it alone, so they are kept in a bounded cache. Latin texts take this way, with the
-    vocabulary's normalizer (NFC, lower case) and pattern in Python's terms; a text with any character on which the two
-    engines could differ, or that might hold the name of a special token, goes to the library whole."""
+    A pre-token's ids depend on it alone and none holds white space, so both pre-tokens and words between white space
+    are kept in bounded caches. Latin texts take this way, with the vocabulary's normalizer (NFC, lower case) and
+    pattern in Python's terms; a text with any character on which the two engines could differ, or that might hold the
+    name of a special token, goes to the library whole."""
 
     #: The vocabulary's own pre-token pattern, for texts without numerals other than decimal digits.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
     ODD = "[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u01c3]|<\\|"
-    LIMIT = 400_000
+    LIMIT = 1_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.find = re.compile(self.SPLIT).findall
-        self.odd = re.compile(self.ODD).search
-        self.cache: dict[str, bytes] = {}
+        self.beyond = re.compile(self.ODD).search
+        self.known = bytes(i for i in range(256) if not self.beyond(chr(i)))
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def odd(self, text: str) -> bool:
+        """Whether a text must go to the library whole."""
+        try:
+            return "<|" in text or bool(text.encode("latin-1").translate(None, self.known))
+        except UnicodeEncodeError:
+            return bool(self.beyond(text))
+
+    def parts_of(self, word: str) -> tuple[str, ...] | list[str]:
+        """The pre-tokens of a word; the pattern is only needed beyond letters with one mark after them."""
+        if word.isalpha():
+            return (word,)
+        return (word[:-1], word[-1]) if word[-1] in ".,;:" and word[:-1].isalpha() else self.find(word)
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
@@ -58,15 +75,25 @@ class Tokens:
         return packed.tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if self.odd(t) else self.find(unicodedata.normalize("NFC", t).lower()) for t in texts]
-        if len(self.cache) > self.LIMIT:
-            self.cache.clear()
-        cache = self.cache
-        new = list({p for s in split if s for p in s if p not in cache})
-        for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            cache[p] = self._bytes(e.ids)
+        split = [None if self.odd(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
+        words, parts = self.words, self.parts
+        for cache in (words, parts):
+            if len(cache) > self.LIMIT:
+                cache.clear()
+        new = {w: self.parts_of(w) for w in set().union(*filter(None, split)).difference(words)}
+        lone = list({p for ps in new.values() for p in ps if p not in parts})
+        for p, e in zip(lone, self.tokenizer.encode_batch(lone, add_special_tokens=False), strict=True):
+            parts[p] = self._bytes(e.ids)
+        for w, ps in new.items():
+            words[w] = parts[ps[0]] if len(ps) == 1 else b"".join(map(parts.__getitem__, ps))
         whole = iter(self.tokenizer.encode_batch([t for t, s in zip(texts, split, strict=True) if s is None], add_special_tokens=False))
-        return [self._bytes(next(whole).ids) if s is None else b"".join(map(cache.__getitem__, s)) for s in split]
+        return [self._bytes(next(whole).ids) if s is None else b"".join(map(words.__getitem__, s)) for s in split]
+
+
+@lru_cache(maxsize=2)
+def tokens_of(path: str) -> Tokens:
+    """One tokenizer and cache for all tasks that a Python worker runs."""
+    return Tokens(path)
 
 
 def cut(doc_id: int, ids: bytes, window: int) -> Iterator[tuple]:
@@ -83,7 +110,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = WIND
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens = Tokens(vocabulary)
+        tokens = tokens_of(vocabulary)
         end = tokens._bytes([end_id])
         for pdf in batches:
             ids = tokens.encode([t if isinstance(t, str) else "" for t in pdf["text"]])

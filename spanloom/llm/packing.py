@@ -42,7 +42,7 @@ class Tokens:
     #: The vocabulary's own pre-token pattern, for texts without numerals other than decimal digits.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
     ODD = "[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u01c3]|<\\|"
-    LIMIT = 1_000_000
+    LIMIT = 300_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

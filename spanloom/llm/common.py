@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -47,6 +48,9 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
+        """Deletes tables, and lets Spark's cleaner see that the shuffles which made them are no longer used."""
+        gc.collect()
+        self.spark._jvm.System.gc()
         jvm = self.spark._jvm
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))

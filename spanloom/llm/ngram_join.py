@@ -35,11 +35,12 @@ from .hashing import LOWER, chunks, joined, mix, range_hashes, word_spans
 
 RUN = 64
 TILE = 2048
-#: Bits of a document's own sketch: a power of two of at least twice its shingles, within these.
-SKETCH_BITS = (256, 1 << 14)
+#: Bits of a document's own sketch: a power of two of at least twice its shingles, within these. Pairs of short runs,
+#: which are many and mostly unrelated, move with the sketch folded to a quarter.
+SKETCH_BITS = (512, 1 << 14)
 #: Ids of candidates that may be broadcast (8 MB); beyond it they meet the texts in a shuffled join.
 FEW_IDS = 1_000_000
-SETS = "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>, sketch binary"
+SETS = "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>, sketch binary, mini binary"
 
 
 class Bands:
@@ -113,7 +114,7 @@ def block_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
 def parity_sketch(shingles: np.ndarray) -> bytes:
     """Every shingle flips bit (hash mod size). Folding a sketch in half by XOR gives that of half the size."""
     least, most = SKETCH_BITS
-    bits = min(most, max(least, 1 << (2 * len(shingles) - 1).bit_length() if len(shingles) else 0))
+    bits = min(most, max(least, 1 << (2 * len(shingles)).bit_length()))
     flips = np.bincount((mix(shingles ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((flips & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -150,7 +151,7 @@ def sets(docs: DataFrame, size: int, p: int, q: int) -> DataFrame:
                     sketch.append(parity_sketch(s))
             flat = _signed(np.concatenate([*keys, np.zeros(0, np.uint64)]))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(k) for k in keys]))), pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), _signed(np.array(f1, np.uint64)), _signed(np.array(f2, np.uint64)), lists, pa.array(sketch, pa.binary())], names=["doc_id", "n_shingles", "f1", "f2", "keys", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), _signed(np.array(f1, np.uint64)), _signed(np.array(f2, np.uint64)), lists, pa.array(sketch, pa.binary()), pa.array([folded(x, len(x) // 4).tobytes() for x in sketch], pa.binary())], names=["doc_id", "n_shingles", "f1", "f2", "keys", "sketch", "mini"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS)
 
@@ -202,8 +203,8 @@ def near(pairs: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
             keep = pa.array(within(n, m, np.array(far, np.int64), p, q))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
-    x = sketches.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("x"))
-    y = sketches.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("y"))
+    x = sketches.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("mini").alias("x"))
+    y = sketches.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("mini").alias("y"))
     return pairs.join(x, "a").join(y, "b").mapInArrow(run, "a long, b long")
 
 
@@ -276,8 +277,9 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def links(docs: DataFrame, reps: DataFrame, work: Workspace, size: int, p: int, q: int) -> DataFrame:
     """(node, component) of the representatives that link to another."""
     rows = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
-    sketches = work.save(reps.select("doc_id", "n_shingles", "sketch"), "sketches")
+    sketches = work.save(reps.select("doc_id", "n_shingles", "sketch", "mini"), "sketches")
     found = work.save(runs(rows), "runs")
+    work.drop("sets")  # the keys, most of what was written, have done their work
     ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
@@ -290,6 +292,7 @@ def links(docs: DataFrame, reps: DataFrame, work: Workspace, size: int, p: int,
     hot = found.filter("hot is not null").select(F.col("hot").alias("key"), F.col("a").alias("doc"))
     hot = hot.join(label.select(F.col("node").alias("doc"), "component"), "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("comp"))
     hot = work.save(hot, "hot")
+    work.drop("runs")
     several = hot.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key", "n")
     several = work.save(several, "several")
     if several.isEmpty():
@@ -303,13 +306,14 @@ def classes(docs: DataFrame, size: int = 5, p: int = 80, q: int = 100) -> DataFr
     spark = docs.sparkSession
     prepare_python(spark)
     work = Workspace(spark, "ngram_join")
-    all_sets = work.save(sets(docs, size, p, q), "sets")
+    full = work.save(sets(docs, size, p, q), "sets")
     mark = ["n_shingles", "f1", "f2"]
+    all_sets = work.save(full.select("doc_id", *mark), "facts")
     some = all_sets.filter("n_shingles > 0 and doc_id is not null")
     equal = work.save(some.groupBy(*mark).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "equal")
     same = match_counted(some.select("doc_id", *mark), equal.filter("n > 1"), mark, "n").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     # A set is sketched once: rows that are their class's least id.
-    reps = some.join(equal.select(F.col("rep").alias("doc_id"), *mark), ["doc_id", *mark], "left_semi").filter(F.size("keys") > 0).select("doc_id", "n_shingles", "keys", "sketch").dropDuplicates(["doc_id", "n_shingles"])
+    reps = full.filter("n_shingles > 0 and doc_id is not null").join(equal.select(F.col("rep").alias("doc_id"), *mark), ["doc_id", *mark], "left_semi").filter(F.size("keys") > 0).select("doc_id", "n_shingles", "keys", "sketch", "mini").dropDuplicates(["doc_id", "n_shingles"])
     label = links(docs, reps, work, size, p, q)
     # Classes take their representative's component. An id that is in several classes joins them.
     shared = some.select("doc_id", *mark).distinct().groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1")

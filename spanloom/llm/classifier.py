@@ -130,6 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
 
     prepare_python(docs.sparkSession)
     row = labelled(docs, labels, sample).repartition(1).mapInPandas(run, "folded binary, bias double").first()
+    if row is None:  # nothing labelled: no partition, so no task to train in
+        return train([], [])
     return np.frombuffer(bytes(row["folded"]), np.float32), row["bias"]
 
 

@@ -17,7 +17,8 @@ def wilson(k: Column, n: Column, z: float = Z) -> tuple[Column, Column]:
     n_, p, zz = n.cast("double"), ratio(k, n), F.lit(z * z)
     mid = (p + F.try_divide(zz, 2 * n_)) / (1 + F.try_divide(zz, n_))
     half = F.lit(z) * F.sqrt(F.try_divide(p * (1 - p), n_) + F.try_divide(zz, 4 * n_ * n_)) / (1 + F.try_divide(zz, n_))
-    return F.greatest(F.lit(0.0), mid - half), F.least(F.lit(1.0), mid + half)
+    some = n_ > 0
+    return F.when(some, F.greatest(F.lit(0.0), mid - half)), F.when(some, F.least(F.lit(1.0), mid + half))
 
 
 def rate(k: Column, n: Column) -> Column:

@@ -151,7 +151,7 @@ def verdict(x: Column) -> Column:
 def extract_json(x: Column) -> Column:
     """JSON text inside a model's answer: a fenced block, else the whole, else the widest bracketed part; else null."""
     fenced = F.regexp_extract(x, r"(?s)```(?:json)?\s*(.*?)```", 1)
-    body = F.trim(F.when(fenced != "", fenced).otherwise(x))
+    body = F.btrim(F.when(fenced != "", fenced).otherwise(x), F.lit(" \t\r\n"))
     wide = F.regexp_extract(body, r"(?s)[{\[].*[}\]]", 0)
     whole = body.rlike(r"(?s)^[{\[].*[}\]]$")
     return F.coalesce(F.when(whole & F.try_parse_json(body).isNotNull(), body), F.when((wide != "") & F.try_parse_json(wide).isNotNull(), wide))

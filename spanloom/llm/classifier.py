@@ -25,7 +25,7 @@ from .common import prepare_python
 from .hashing import chunks, joined, range_hashes, word_spans
 
 #: Labelled rows that training reads at most (in expectation): a parameter, not a function of the corpus.
-SAMPLE = 6000
+SAMPLE = 4000
 HASHED = 1 << 17
 #: A word pair's bucket says only whether the word equals the one 1, 2 or 3 before it, in the same text.
 BACK = (1, 2, 3)
@@ -74,7 +74,7 @@ def bags(texts: list) -> list[tuple[np.ndarray, np.ndarray]]:
         parts = [x[b[i] : b[i + 1] if i + 1 < len(b) else len(x)] for x, b in groups]
         each = np.repeat([1 / max(len(p), 1) / len(groups) for p in parts], [len(p) for p in parts])
         ids, where = np.unique(np.concatenate(parts), return_inverse=True)
-        out.append((ids, np.bincount(where, each, len(ids)).astype(np.float32)))
+        out.append((ids.astype(np.int32), np.bincount(where, each, len(ids)).astype(np.float32)))
     return out
 
 

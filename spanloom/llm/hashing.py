@@ -55,7 +55,7 @@ def joined(texts: list) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"\n".join(raw) + b"\n", np.uint8), at
 
 
-def chunks(texts: list, limit: int = 1 << 21):
+def chunks(texts: list, limit: int = 1 << 19):
     """Index ranges of consecutive texts of about limit characters, one text at least."""
     i = 0
     while i < len(texts):

@@ -156,16 +156,16 @@ def sets(docs: DataFrame, size: int, p: int, q: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS)
 
 
-def runs(rows: DataFrame, most: int = RUN) -> DataFrame:
-    """From (key, doc): candidate pairs (hot null), and the rows of keys too long or cut by a task's edge (hot their key)."""
+def runs(rows: DataFrame, p: int, q: int, most: int = RUN) -> DataFrame:
+    """From (key, doc, n): candidate pairs whose sizes n can reach p/q (hot null), and the rows of keys too long or cut by a task's edge (hot their key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [tuple(b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc")) for b in batches if b.num_rows]
+        parts = [tuple(b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc", "n")) for b in batches if b.num_rows]
         if not parts:
             return
-        key, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
+        key, doc, size = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
+        key, doc, size = key[order], doc[order], size[order].astype(np.int64)
         start = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
         length = np.diff(np.append(start, len(key)))
         edge = np.zeros(len(start), bool)
@@ -183,7 +183,9 @@ def runs(rows: DataFrame, most: int = RUN) -> DataFrame:
         for s, n in zip(start[long], length[long], strict=True):
             a += [np.arange(s, s + n - 1), np.full(n - 1, s)]
             b += [np.arange(s + 1, s + n), np.arange(s + 1, s + n)]
-        a, b = doc[np.concatenate(a)], doc[np.concatenate(b)]
+        a, b = np.concatenate(a), np.concatenate(b)
+        near = np.minimum(size[a], size[b]) * q >= np.maximum(size[a], size[b]) * p
+        a, b = doc[a[near]], doc[b[near]]
         pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
         left = np.repeat(long | edge, length)
         hot = pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(key[left])])
@@ -276,9 +278,9 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, reps: DataFrame, work: Workspace, size: int, p: int, q: int) -> DataFrame:
     """(node, component) of the representatives that link to another."""
-    rows = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
+    rows = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"), F.col("n_shingles").cast("int").alias("n"))
     sketches = work.save(reps.select("doc_id", "n_shingles", "sketch", "mini"), "sketches")
-    found = work.save(runs(rows), "runs")
+    found = work.save(runs(rows, p, q), "runs")
     work.drop("sets")  # the keys, most of what was written, have done their work
     ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 

@@ -11,7 +11,10 @@ Blocks are joined by a 64-bit XOR of their set bits. Candidates are verified on
 * Block rows are dealt by ranges of (key, document), so a key of any size spreads over tasks. A run of at most RUN rows
   gives all its pairs; a longer one gives a star and a chain. These pairs are filtered by the sketches' Hamming distance,
   verified on the texts and joined into components, which settles groups of near copies.
-* Keys whose long runs still hold several components are dealt out as pairs of tiles of TILE documents. A task compares
+* A linked pair agrees on at least `need` of the kept blocks of a band, all in long keys if no short run showed it. So a
+  document with fewer than `need` long keys there is settled, and another has to be met in all but its need - 1 most
+  frequent long keys only.
+* Of these, keys that still hold several components are dealt out as pairs of tiles of TILE documents. A task compares
   the sketches of one pair of tiles and gives only pairs within the bound, which are verified as well. No link is lost
   to a cap, and no group meets in one task.
 
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Workspace, match_counted, prepare_python
@@ -40,7 +43,7 @@ TILE = 2048
 SKETCH_BITS = (512, 1 << 14)
 #: Ids of candidates that may be broadcast (8 MB); beyond it they meet the texts in a shuffled join.
 FEW_IDS = 1_000_000
-SETS = "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>, sketch binary, mini binary"
+SETS = "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>, sketch binary, mini binary, need array<int>"
 
 
 class Bands:
@@ -90,9 +93,10 @@ def shingle_hashes(texts: list, size: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def block_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """The join keys of one set: its blocks of every band it is in."""
-    out = []
+def block_keys(shingles: np.ndarray, bands: Bands) -> tuple[np.ndarray, list[int]]:
+    """The join keys of one set: its blocks of every band it is in. A key's lowest bit is the band's parity, which tells
+    a set's two bands apart. The second result is, by parity, on how many of these keys a linked set agrees at least."""
+    out, need = [], [1, 1]
     for band, d, m in bands.of(len(shingles)) if len(shingles) else ():
         h = mix(shingles ^ mix(np.array([band + 1], np.uint64)))
         block = ((h >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # which block; the low bits say which bit in it
@@ -105,10 +109,13 @@ def block_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
             empty = np.setdiff1d(np.arange(m, dtype=np.uint64), ids, assume_unique=True)
             ids, parity = np.concatenate((ids, empty)), np.concatenate((parity, np.zeros(len(empty), np.uint64)))
         else:
+            # Blocks that agree have the same shingles, so at most as many weak ones agree as this set has.
+            need[band & 1] = m - d - (m - int(strong.sum()))
             ids, parity = ids[strong], parity[strong]
         with np.errstate(over="ignore"):
-            out.append(mix(mix(parity) + mix(ids + np.uint64((band + 1) << 32))))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+            key = mix(mix(parity) + mix(ids + np.uint64((band + 1) << 32)))
+        out.append((key & ~np.uint64(1)) | np.uint64(band & 1))
+    return (np.concatenate(out) if out else np.zeros(0, np.uint64)), need
 
 
 def parity_sketch(shingles: np.ndarray) -> bytes:
@@ -141,17 +148,19 @@ def sets(docs: DataFrame, size: int, p: int, q: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(p, q)
         for batch in batches:
-            texts, n, f1, f2, keys, sketch = batch.column("text").to_pylist(), [], [], [], [], []
+            texts, n, f1, f2, keys, sketch, need = batch.column("text").to_pylist(), [], [], [], [], [], []
             for i, j in chunks(texts):
                 for s in shingle_hashes(texts[i:j], size):
                     n.append(len(s))
                     f1.append(np.sum(s, dtype=np.uint64))
                     f2.append(np.sum(mix(s ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64))
-                    keys.append(block_keys(s, bands))
+                    own, least = block_keys(s, bands)
+                    keys.append(own)
+                    need.append(least)
                     sketch.append(parity_sketch(s))
             flat = _signed(np.concatenate([*keys, np.zeros(0, np.uint64)]))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(k) for k in keys]))), pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), _signed(np.array(f1, np.uint64)), _signed(np.array(f2, np.uint64)), lists, pa.array(sketch, pa.binary()), pa.array([folded(x, len(x) // 4).tobytes() for x in sketch], pa.binary())], names=["doc_id", "n_shingles", "f1", "f2", "keys", "sketch", "mini"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), _signed(np.array(f1, np.uint64)), _signed(np.array(f2, np.uint64)), lists, pa.array(sketch, pa.binary()), pa.array([folded(x, len(x) // 4).tobytes() for x in sketch], pa.binary()), pa.array(need, pa.list_(pa.int32()))], names=["doc_id", "n_shingles", "f1", "f2", "keys", "sketch", "mini", "need"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS)
 
@@ -271,6 +280,22 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, p: int, q: int) -> D
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def deciding(hot: DataFrame, sketches: DataFrame, work: Workspace) -> DataFrame:
+    """Of the rows (key, doc) of long keys, those that a link which no short run showed can depend on.
+
+    Such a pair agrees on `need` long keys of a band or more. Of these the least in an order common to all documents has
+    need - 1 others of each side behind it, so it is among the first have - need + 1 long keys of both."""
+    needs = sketches.select(F.col("doc_id").alias("doc"), F.col("need").alias("needs"))
+    own = Window.partitionBy("doc", "band")
+    rows = hot.join(needs, "doc").withColumn("band", F.col("key").bitwiseAND(1).cast("int"))
+    rows = rows.select("key", "doc", "band", F.col("needs")[F.col("band")].alias("need"), F.count("*").over(own).alias("have"))
+    some = work.save(rows.filter("have >= need"), "open")
+    often = work.save(some.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "often")
+    # A key left with one document can't be agreed on any more.
+    ranked = match_counted(some, often, ["key"], "n").withColumn("have", F.count("*").over(own)).filter("have >= need")
+    return ranked.withColumn("at", F.row_number().over(own.orderBy("n", "key"))).filter("at <= have - need + 1").select("key", "doc")
+
+
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     few = ids.count() <= FEW_IDS
     return docs.filter("text is not null").select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
@@ -279,7 +304,7 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def links(docs: DataFrame, reps: DataFrame, work: Workspace, size: int, p: int, q: int) -> DataFrame:
     """(node, component) of the representatives that link to another."""
     rows = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"), F.col("n_shingles").cast("int").alias("n"))
-    sketches = work.save(reps.select("doc_id", "n_shingles", "sketch", "mini"), "sketches")
+    sketches = work.save(reps.select("doc_id", "n_shingles", "sketch", "mini", "need"), "sketches")
     found = work.save(runs(rows, p, q), "runs")
     work.drop("sets")  # the keys, most of what was written, have done their work
     ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
@@ -291,7 +316,7 @@ def links(docs: DataFrame, reps: DataFrame, work: Workspace, size: int, p: int,
 
     edges = check(near(found.filter("hot is null").select("a", "b").distinct(), sketches, p, q), "runs")
     label = components(edges, work, "cc")
-    hot = found.filter("hot is not null").select(F.col("hot").alias("key"), F.col("a").alias("doc"))
+    hot = deciding(found.filter("hot is not null").select(F.col("hot").alias("key"), F.col("a").alias("doc")), sketches, work)
     hot = hot.join(label.select(F.col("node").alias("doc"), "component"), "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("comp"))
     hot = work.save(hot, "hot")
     work.drop("runs")
@@ -315,7 +340,7 @@ def classes(docs: DataFrame, size: int = 5, p: int = 80, q: int = 100) -> DataFr
     equal = work.save(some.groupBy(*mark).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "equal")
     same = match_counted(some.select("doc_id", *mark), equal.filter("n > 1"), mark, "n").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     # A set is sketched once: rows that are their class's least id.
-    reps = full.filter("n_shingles > 0 and doc_id is not null").join(equal.select(F.col("rep").alias("doc_id"), *mark), ["doc_id", *mark], "left_semi").filter(F.size("keys") > 0).select("doc_id", "n_shingles", "keys", "sketch", "mini").dropDuplicates(["doc_id", "n_shingles"])
+    reps = full.filter("n_shingles > 0 and doc_id is not null").join(equal.select(F.col("rep").alias("doc_id"), *mark), ["doc_id", *mark], "left_semi").filter(F.size("keys") > 0).select("doc_id", "n_shingles", "keys", "sketch", "mini", "need").dropDuplicates(["doc_id", "n_shingles"])
     label = links(docs, reps, work, size, p, q)
     # Classes take their representative's component. An id that is in several classes joins them.
     shared = some.select("doc_id", *mark).distinct().groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1")

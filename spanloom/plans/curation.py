@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import stats, text
 from ..operators import corpus, decisions, sample
 from ..operators.spans import let
+from .labeling import _cases as cases
 from .labeling import read, wilson_sql
 
 
@@ -229,10 +230,11 @@ _GOLD = "SELECT source, quality, count(*) AS n FROM documents LEFT JOIN (SELECT
 
 
 def human_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unlabelled documents for people: audited ones first, else those in dispute."""
-    d = read(spark, sf_dir, "documents").select("doc_id", "n_chars").join(read(spark, sf_dir, "labels"), "doc_id", "left_anti")
-    reason = F.when(text.unit(F.lit("q"), F.col("doc_id").cast("string")) < 0.1, "random_audit").when(F.col("n_chars") % 7 == 0, "judge_flip")
-    return d.select("doc_id", reason.alias("reason")).filter("reason is not null")
+    """Unlabelled documents for people: audited ones first, else those whose case the judge left inconclusive. The reason is
+    exploded, so that the filter on it does not work out the case again."""
+    d = cases(spark, sf_dir).select("doc_id", "decision").join(read(spark, sf_dir, "labels"), "doc_id", "left_anti")
+    reason = F.when(text.unit(F.lit("q"), F.col("doc_id").cast("string")) < 0.1, "random_audit").when(F.col("decision") == "inconclusive", "judge_flip")
+    return d.select("doc_id", F.explode(F.array(reason)).alias("reason")).filter("reason is not null")
 
 
 _HUMAN = "SELECT doc_id, reason FROM (SELECT doc_id, CASE WHEN ('0x' || substr(sha256('q|' || doc_id), 1, 8))::UBIGINT / 4294967296.0::DOUBLE < 0.1 THEN 'random_audit' WHEN n_chars % 7 = 0 THEN 'judge_flip' END AS reason FROM documents ANTI JOIN labels USING (doc_id)) WHERE reason IS NOT NULL"

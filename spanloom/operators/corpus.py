@@ -27,7 +27,8 @@ def bad_orthography(words: Column) -> Column:
 
 
 def level_hyphen(line: Column) -> Column:
-    return line.rlike(r"(?<![0-9])\s*-|-\s*(?![0-9\s])|-\s*$")
+    """Whether a hyphen stands anywhere but between two digits, spaces around it aside."""
+    return line.rlike(r"(?U)(?:^|[^\d\s])\s*-|-\s*(?:[^\d\s]|$)")
 
 
 def repeated_gram(words: Column, n: int) -> Column:
@@ -35,9 +36,18 @@ def repeated_gram(words: Column, n: int) -> Column:
     return let(ngrams(words, n), lambda g: F.get(F.filter(g, lambda x, i: (F.array_position(g, x) - 1) < i), F.lit(0)))
 
 
+def _adjacent(words: Column) -> Column:
+    return F.filter(words, lambda w, i: (F.get(words, i + 1) == w) & strip_marks(w).isin(*KEYWORDS))
+
+
+def repeats(words: Column) -> Column:
+    """Whether repeated_keyword finds one, in time linear in the words: pairs of keywords and three words repeat two words."""
+    return (F.size(_adjacent(words)) > 0) | let(ngrams(words, 2), lambda g: F.size(F.array_distinct(g)) < F.size(g))
+
+
 def repeated_keyword(words: Column) -> Column:
     """The first adjacent repeat of a keyword, of a keyword pair, of three or of two words."""
-    one = F.get(F.filter(words, lambda w, i: (F.get(words, i + 1) == w) & strip_marks(w).isin(*KEYWORDS)), F.lit(0))
+    one = F.get(_adjacent(words), F.lit(0))
     two = let(ngrams(words, 2), lambda g: F.get(F.filter(g, lambda x, i: (F.get(g, i + 2) == x) & strip_marks(x).isin(*KEYWORD_PAIRS)), F.lit(0)))
     return F.coalesce(one, two, repeated_gram(words, 3), repeated_gram(words, 2))
 
@@ -53,7 +63,7 @@ def reasons(line: Column) -> Column:
         return F.array_compact(F.array(
             F.when(F.size(bad_orthography(w)) > 0, "orthography"),
             F.when(level_hyphen(line), "hyphen"),
-            F.when(repeated_keyword(w).isNotNull(), "repeat"),
+            F.when(repeats(w), "repeat"),
             F.when(strange(line, w), "strange"),
             F.when(F.length(F.trim(line)) < MIN_LENGTH, "short"),
         ))

@@ -53,12 +53,7 @@ SELECT key, form, n, total::BIGINT AS total, n_forms FROM r WHERE k = 1 AND n_fo
 def corpus_quality_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines by the reasons for which the corpus filter removes them."""
     lines = read(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("line")).filter(F.trim("line") != "")
-    short = lines.select(F.array_compact(F.array(
-        F.when(F.size(let(text.letters_only(F.col("line")), corpus.bad_orthography)) > 0, "orthography"),
-        F.when(F.length(F.trim("line")) < corpus.MIN_LENGTH, "short"),
-        F.when((F.size(text.letters_only(F.col("line"))) == 0) | F.col("line").rlike("&#[0-9]+;"), "strange"),
-    )).alias("r"))
-    return short.groupBy(F.array_join("r", ",").alias("reasons")).agg(F.count("*").alias("n"))
+    return lines.groupBy(F.array_join(corpus.reasons(F.col("line")), ",").alias("reasons")).agg(F.count("*").alias("n"))
 
 
 _REASONS = """

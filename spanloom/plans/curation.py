@@ -14,9 +14,11 @@ from .labeling import read, wilson_sql
 
 
 def match_key_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of first lines that several documents share, after accents were decomposed on purpose."""
-    d = read(spark, sf_dir, "documents").select(F.replace(F.substring_index("text", "\n", 1), F.lit("é"), F.lit("é")).alias("t"))
-    return d.groupBy(text.match_key(F.col("t")).alias("key")).agg(F.count("*").alias("n")).filter("n > 1")
+    """Keys of lines that several documents share, after accents were decomposed on purpose. A document counts once for a
+    key; the whole text is normalized at once, as nothing composes across a line's end."""
+    d = read(spark, sf_dir, "documents").select(text.nfc(F.replace("text", F.lit("é"), F.lit("e\u0301"))).alias("t"))
+    keys = d.select(F.explode(F.array_distinct(F.transform(F.split("t", "\n", -1), lambda x: text.match_key(x, normalize=False)))).alias("key"))
+    return keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
 
 
 _KEYS = "SELECT key, count(*) AS n FROM (SELECT trim(regexp_replace(lower(nfc_normalize(replace(string_split(text, chr(10))[1], 'é', 'e' || chr(769)))), '\\s+', ' ', 'g'), ' ,.;:-') AS key FROM documents) GROUP BY key HAVING count(*) > 1"

@@ -60,3 +60,9 @@ def test_corpus_quality_reasons_applies_every_rule(spark, tables):
     w = text.letters_only(F.col("text"))
     rows = spark.createDataFrame([(x,) for x in lines], "text string").select(corpus.repeats(w).alias("a"), corpus.repeated_keyword(w).isNotNull().alias("b")).collect()
     assert all(r.a == r.b for r in rows)
+
+
+def test_match_key_dups_reads_every_line(spark, tables):
+    docs = ["Tên\nCafé  Sữa.\n\nmột", "khác\ncafé sữa\nCafé sữa", "Tên\nhai", "\n x \nmột;", None, "end\n"]
+    sf = tables(documents=("doc_id long, text string", [*enumerate(docs)]))
+    assert {r.key: r.n for r in curation.match_key_dups(spark, sf).collect()} == {"tên": 2, "café sữa": 2, "một": 2, "": 3}

@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,45 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Beside:
+    """Rows of a table that belong to rows of a scan, read by the scan's own tasks: a join that moves no text.
+
+    Rows of the scan are numbered by monotonically_increasing_id, whose high bits are the scan's partition. save() writes
+    the table by that partition; a task that scans a partition reads its part alone. Both scans must be cut alike."""
+
+    BITS = 33
+
+    def __init__(self, work: Workspace, name: str):
+        self.folder, self.part, self.table = work.path(name), None, None
+
+    def save(self, rows: DataFrame, row: str = "row") -> Beside:
+        part = F.shiftright(row, self.BITS).alias("_part")
+        dealt = rows.select("*", part).repartition("_part").sortWithinPartitions("_part", row)
+        dealt.write.option("compression", "zstd").partitionBy("_part").parquet(self.folder)
+        return self
+
+    def of(self, rows: pa.Array, row: str = "row") -> list[pa.Table]:
+        """For each of consecutive rows of one partition of the scan, what the table holds for it."""
+        import numpy as np
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        ids = rows.to_numpy()
+        part = int(ids[0]) >> self.BITS if len(ids) else self.part
+        if part != self.part:
+            store, path = fs.FileSystem.from_uri(self.folder)
+            files = [f.path for f in store.get_file_info(fs.FileSelector(f"{path}/_part={part}", allow_not_found=True)) if f.path.endswith(".parquet")]
+            tables = []
+            for f in files:
+                with store.open_input_file(f) as source:
+                    tables.append(pq.ParquetFile(source).read())
+            self.part, self.table = part, pa.concat_tables(tables).sort_by(row).combine_chunks() if tables else None
+        if self.table is None:
+            return [pa.table({})] * len(ids)
+        have = self.table.column(row).to_numpy()
+        return [self.table.slice(a, b - a) for a, b in zip(np.searchsorted(have, ids), np.searchsorted(have, ids, side="right"), strict=True)]
+
+
 def prepare_python(spark: SparkSession, rows: int = 1000) -> None:
     """Bounds the rows of an Arrow batch, so that a batch of long texts fits a Python worker, and lets workers that
     start elsewhere than in the repository find this package."""

@@ -42,7 +42,8 @@ class Tokens:
     #: The vocabulary's own pre-token pattern, for texts without numerals other than decimal digits.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
     ODD = "[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u01c3]|<\\|"
-    LIMIT = 300_000
+    #: Entries of a generation of the caches of words and of pre-tokens; each holds two generations at most.
+    WORDS, PARTS = 150_000, 300_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,8 +52,8 @@ class Tokens:
         self.find = re.compile(self.SPLIT).findall
         self.beyond = re.compile(self.ODD).search
         self.known = bytes(i for i in range(256) if not self.beyond(chr(i)))
-        self.parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.parts: list[dict[str, bytes]] = [{}, {}]
+        self.words: list[dict[str, bytes]] = [{}, {}]
 
     def odd(self, text: str) -> bool:
         """Whether a text must go to the library whole."""
@@ -61,12 +62,6 @@ class Tokens:
         except UnicodeEncodeError:
             return bool(self.beyond(text))
 
-    def parts_of(self, word: str) -> tuple[str, ...] | list[str]:
-        """The pre-tokens of a word; the pattern is only needed beyond letters with one mark after them."""
-        if word.isalpha():
-            return (word,)
-        return (word[:-1], word[-1]) if word[-1] in ".,;:" and word[:-1].isalpha() else self.find(word)
-
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
         packed = array("I", ids)
@@ -74,20 +69,30 @@ class Tokens:
             packed.byteswap()
         return packed.tobytes()
 
+    @staticmethod
+    def _missing(wanted: set[str], cache: list[dict[str, bytes]], limit: int) -> set[str]:
+        """What of wanted the cache lacks. A full generation becomes the old one; what is met there again moves up."""
+        if len(cache[0]) > limit:
+            cache[:] = [{}, cache[0]]
+        young, old = cache
+        wanted = wanted.difference(young)
+        again = wanted.intersection(old)
+        young.update(zip(again, map(old.__getitem__, again), strict=True))
+        return wanted - again
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if self.odd(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
-        words, parts = self.words, self.parts
-        for cache in (words, parts):
-            if len(cache) > self.LIMIT:
-                cache.clear()
-        new = {w: self.parts_of(w) for w in set().union(*filter(None, split)).difference(words)}
-        lone = list({p for ps in new.values() for p in ps if p not in parts})
-        for p, e in zip(lone, self.tokenizer.encode_batch(lone, add_special_tokens=False), strict=True):
-            parts[p] = self._bytes(e.ids)
-        for w, ps in new.items():
-            words[w] = parts[ps[0]] if len(ps) == 1 else b"".join(map(parts.__getitem__, ps))
+        new = self._missing(set().union(*filter(None, split)), self.words, self.WORDS)
+        # The pattern is only needed beyond letters with one mark after them.
+        plain = {w for w in new if w.isalpha()}
+        marked = {w: (w[:-1], w[-1]) if w[-1] in ".,;:" and w[:-1].isalpha() else self.find(w) for w in new - plain}
+        lone = list(self._missing(plain.union(*marked.values()), self.parts, self.PARTS))
+        words, parts = self.words[0], self.parts[0]
+        parts.update((p, self._bytes(e.ids)) for p, e in zip(lone, self.tokenizer.encode_batch(lone, add_special_tokens=False), strict=True))
+        words.update((w, parts[w]) for w in plain)
+        words.update((w, b"".join([parts[p] for p in ps])) for w, ps in marked.items())
         whole = iter(self.tokenizer.encode_batch([t for t, s in zip(texts, split, strict=True) if s is None], add_special_tokens=False))
-        return [self._bytes(next(whole).ids) if s is None else b"".join(map(words.__getitem__, s)) for s in split]
+        return [self._bytes(next(whole).ids) if s is None else b"".join([words[w] for w in s]) for s in split]
 
 
 @lru_cache(maxsize=2)

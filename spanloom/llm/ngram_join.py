@@ -5,8 +5,11 @@ two sketches is at most the size of the sets' symmetric difference. For a band o
 difference by d; the sketch is cut into m > d blocks, so two similar documents agree on at least m - d whole blocks.
 Blocks are joined by a 64-bit XOR of their set bits. Candidates are verified on the shingle sets of the whole texts.
 
-* Blocks that hold fewer than two shingles say little and are left out, unless a document has m - d or more of them:
-  otherwise a pair that agrees only on such blocks would be lost, and only then could one exist.
+* A set's blocks are ordered: those of two shingles or more by their key, then those of one, then empty ones. As a pair
+  agrees on m - d blocks or more, the first block it agrees on is among the first d + 1 of either, so these alone are keys.
+  Where fewer than d + 1 blocks hold anything, empty ones would be keys, which unrelated sets share: such a set takes the
+  blocks it has and is laid out once more under another seed. Both sets of a similar pair come to the first seed under
+  which either has d + 1 filled blocks, and there they agree on a filled one. After the last seed empty blocks are keys.
 * Documents of equal sets are one node, so copies are never paired with each other.
 * Block rows are dealt by ranges of (key, document), so a key of any size spreads over tasks. A run of at most RUN rows
   gives all its pairs; a longer one gives a star and a chain. These pairs are filtered by the sketches' Hamming distance,
@@ -16,8 +19,9 @@ Blocks are joined by a 64-bit XOR of their set bits. Candidates are verified on
   to a cap, and no group meets in one task.
 
 Defined results: no words or a null text: no shingles, linked with nothing; fewer words than a shingle has: their
-sequence is the one shingle; rows of one doc_id are one node; a null doc_id is in no component; an empty table gives
-no rows; extra columns are ignored by `classes` and kept by `keep_one`.
+sequence is the one shingle; rows of one doc_id are one node, whatever their texts; a null doc_id is in no component; a
+text of any length is read whole (its sketch stops growing at SKETCH_BITS, its keys grow with it); an empty table gives no
+rows; extra columns are ignored by `classes` and kept by `keep_one`.
 """
 
 from __future__ import annotations
@@ -35,6 +39,10 @@ from .hashing import LOWER, chunks, joined, mix, range_hashes, word_spans
 
 RUN = 64
 TILE = 2048
+#: Layouts of a small set before empty blocks become keys.
+SEEDS = 8
+#: Block rows that a task sorts at once, about; more rows make more tasks.
+TASK_ROWS = 2_000_000
 #: Bits of a document's own sketch: a power of two of at least twice its shingles, within these. Pairs of short runs,
 #: which are many and mostly unrelated, move with the sketch folded to a quarter.
 SKETCH_BITS = (512, 1 << 14)
@@ -91,23 +99,27 @@ def shingle_hashes(texts: list, size: int) -> Iterator[np.ndarray]:
 
 
 def block_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """The join keys of one set: its blocks of every band it is in."""
+    """The join keys of one set: its first d + 1 blocks of every band it is in."""
     out = []
     for band, d, m in bands.of(len(shingles)) if len(shingles) else ():
-        h = mix(shingles ^ mix(np.array([band + 1], np.uint64)))
-        block = ((h >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # which block; the low bits say which bit in it
-        order = np.argsort(block, kind="stable")
-        ids, first, n = np.unique(block[order], return_index=True, return_counts=True)
-        # XOR over the bits that an odd number of shingles flips (two shingles on one bit cancel out).
-        parity = np.bitwise_xor.reduceat(mix(h[order] & np.uint64(0xFFFFFFFF)), first)
-        strong = n >= 2
-        if m - int(strong.sum()) >= m - d:
-            empty = np.setdiff1d(np.arange(m, dtype=np.uint64), ids, assume_unique=True)
-            ids, parity = np.concatenate((ids, empty)), np.concatenate((parity, np.zeros(len(empty), np.uint64)))
+        for seed in range(SEEDS):
+            salt = np.uint64(band + 1) << np.uint64(32) | np.uint64(seed) << np.uint64(56)
+            # The high half of h says which block, so sorting h brings blocks together; the low half says which bit in it.
+            h = np.sort(mix(shingles ^ mix(np.array([salt], np.uint64))))
+            block = ((h >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+            first = np.concatenate(([0], np.flatnonzero(block[1:] != block[:-1]) + 1))
+            parity = np.bitwise_xor.reduceat(mix(h & np.uint64(0xFFFFFFFF)), first)
+            with np.errstate(over="ignore"):
+                key = mix(mix(parity) + mix(block[first] + salt))
+            if len(key) > d:
+                single = np.diff(np.append(first, len(h))) < 2
+                out.append(key[np.lexsort((key, single))[: d + 1]])
+                break
+            out.append(key)
         else:
-            ids, parity = ids[strong], parity[strong]
-        with np.errstate(over="ignore"):
-            out.append(mix(mix(parity) + mix(ids + np.uint64((band + 1) << 32))))
+            empty = np.setdiff1d(np.arange(m, dtype=np.uint64), block[first], assume_unique=True)
+            with np.errstate(over="ignore"):
+                out.append(np.sort(mix(mix(np.zeros(1, np.uint64)) + mix(empty + salt)))[: d + 1 - len(key)])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -156,8 +168,10 @@ def sets(docs: DataFrame, size: int, p: int, q: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS)
 
 
-def runs(rows: DataFrame, p: int, q: int, most: int = RUN) -> DataFrame:
-    """From (key, doc, n): candidate pairs whose sizes n can reach p/q (hot null), and the rows of keys too long or cut by a task's edge (hot their key)."""
+def runs(rows: DataFrame, total: int, p: int, q: int, most: int = RUN) -> DataFrame:
+    """From total rows (key, doc, n): candidate pairs whose sizes n can reach p/q (hot null), and the rows of keys too long or cut by a task's edge (hot their key)."""
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_ROWS))
+    dealt = rows.repartitionByRange(tasks, "key", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [tuple(b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc", "n")) for b in batches if b.num_rows]
@@ -191,7 +205,7 @@ def runs(rows: DataFrame, p: int, q: int, most: int = RUN) -> DataFrame:
         hot = pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(key[left])])
         yield pa.RecordBatch.from_arrays([hot, *(pa.array(np.concatenate((pairs[:, i], doc[left]))) for i in (0, 1))], names=["hot", "a", "b"])
 
-    return rows.repartitionByRange("key", "doc").mapInArrow(run, "hot long, a long, b long")
+    return dealt.mapInArrow(run, "hot long, a long, b long")
 
 
 def near(pairs: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
@@ -280,8 +294,9 @@ def links(docs: DataFrame, reps: DataFrame, work: Workspace, size: int, p: int,
     """(node, component) of the representatives that link to another."""
     rows = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"), F.col("n_shingles").cast("int").alias("n"))
     sketches = work.save(reps.select("doc_id", "n_shingles", "sketch", "mini"), "sketches")
-    found = work.save(runs(rows, p, q), "runs")
-    work.drop("sets")  # the keys, most of what was written, have done their work
+    total = reps.agg(F.sum(F.size("keys"))).first()[0] or 0
+    found = work.save(runs(rows, total, p, q), "runs")
+    work.drop("reps")  # the keys, most of what was written, have done their work
     ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
@@ -315,7 +330,10 @@ def classes(docs: DataFrame, size: int = 5, p: int = 80, q: int = 100) -> DataFr
     equal = work.save(some.groupBy(*mark).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "equal")
     same = match_counted(some.select("doc_id", *mark), equal.filter("n > 1"), mark, "n").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     # A set is sketched once: rows that are their class's least id.
-    reps = full.filter("n_shingles > 0 and doc_id is not null").join(equal.select(F.col("rep").alias("doc_id"), *mark), ["doc_id", *mark], "left_semi").filter(F.size("keys") > 0).select("doc_id", "n_shingles", "keys", "sketch", "mini").dropDuplicates(["doc_id", "n_shingles"])
+    least = equal.select(F.col("rep").alias("doc_id"), *mark)
+    reps = full.filter("n_shingles > 0 and doc_id is not null").join(least, ["doc_id", *mark], "left_semi").filter(F.size("keys") > 0).dropDuplicates(["doc_id", *mark])
+    reps = work.save(reps.select("doc_id", "n_shingles", "keys", "sketch", "mini"), "reps")
+    work.drop("sets")
     label = links(docs, reps, work, size, p, q)
     # Classes take their representative's component. An id that is in several classes joins them.
     shared = some.select("doc_id", *mark).distinct().groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1")

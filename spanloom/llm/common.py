@@ -23,9 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where
+    that is unset on a local master (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + os.path.join(tempfile.gettempdir(), "spanloom-shared")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -9,7 +9,8 @@ Only windows are shuffled for the search, pre-aggregated per hash. Windows so fr
 
 Defined results: a null text stays null and has no lines; documents of fewer than three such lines are left as they
 are; a document whose lines are all copies keeps its row with what is left (blank lines or nothing); repeated rows are
-copies of each other; an empty table stays empty; extra columns are kept.
+copies of each other; an empty table stays empty; a text of any length is one row of lines;
+extra columns are kept, but for those that `full` names its counts like.
 """
 
 from __future__ import annotations
@@ -45,8 +46,9 @@ def windows(docs: DataFrame) -> DataFrame:
     return some.select(ROW, "doc_id", F.explode(let(lines_of(F.col("text")), of)).alias("w")).select(ROW, "doc_id", "w.*")
 
 
-def dedup(docs: DataFrame, full: bool = False) -> DataFrame:
-    """docs with the text of later occurrences cut; with full also n_lines and n_removed (lines that hold a word)."""
+def dedup(docs: DataFrame, full: bool = False, emptied: bool = True) -> DataFrame:
+    """docs with the text of later occurrences cut; with full also n_lines and n_removed (lines that hold a word); without
+    emptied, documents that lost every line that holds a word go."""
     work = Workspace(docs.sparkSession, "line_dedup")
     # The same row gets the same number again when a lost task reruns: it counts rows in the partitions of the scan.
     rows = docs.withColumn(ROW, F.monotonically_increasing_id())
@@ -65,5 +67,7 @@ def dedup(docs: DataFrame, full: bool = False) -> DataFrame:
         return let(gone, lambda g: F.array_join(F.filter(x, lambda _, i: ~F.map_contains_key(g, i)), "\n"))
 
     text = F.when(F.col(DROP).isNull(), F.col("text")).otherwise(let(lines_of(F.col("text")), kept))
+    if not emptied:
+        joined = joined.filter(F.col(DROP).isNull() | (F.size(DROP) < let(lines_of(F.col("text")), lambda x: F.size(_filled(x)))))
     extra = {"n_lines": F.coalesce(let(lines_of(F.col("text")), lambda x: F.size(_filled(x))), F.lit(0)).cast("long"), "n_removed": F.coalesce(F.size(DROP), F.lit(0)).cast("long")} if full else {}
-    return joined.select(*(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns), *(c.alias(n) for n, c in extra.items()))
+    return joined.select(*(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in extra), *(c.alias(n) for n, c in extra.items()))

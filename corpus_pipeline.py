@@ -23,8 +23,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three-line windows are cut from the texts; n_chars follows where the text changed."""
-    return line_dedup.dedup(docs)
+    """Later occurrences of three-line windows are cut from the texts. A document that they were all of is a copy of what
+    came before it: nothing of it is left, so it goes. One that was blank before stays as it is."""
+    return line_dedup.dedup(docs, emptied=False)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

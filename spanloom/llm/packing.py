@@ -6,11 +6,14 @@ the open window with the least room that still holds it. Full windows are sequen
 its last few windows with room, which is small against the tens of thousands of rests it holds.
 
 Defined results: a null or empty text is one piece that holds only the closing id; equal rows are packed each for
-itself; an empty table gives no pieces; other columns are ignored, so names can't clash.
+itself; a null doc_id stays null; a text of any length is tokenized whole and cut into full windows; an empty table gives
+no pieces; other columns are ignored, so names can't clash.
 """
 
 from __future__ import annotations
 
+import gc
+import os
 import re
 import sys
 import unicodedata
@@ -19,7 +22,7 @@ from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +46,7 @@ class Tokens:
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
     ODD = "[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u01c3]|<\\|"
     #: Entries of a generation of the caches of words and of pre-tokens; each holds two generations at most.
-    WORDS, PARTS = 150_000, 300_000
+    WORDS, PARTS = 250_000, 300_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -111,18 +114,20 @@ def cut(doc_id: int, ids: bytes, window: int) -> Iterator[tuple]:
 def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = WINDOW) -> DataFrame:
     """Per document its full windows and its rest: lengths and checksums, no ids."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokens = tokens_of(vocabulary)
         end = tokens._bytes([end_id])
-        for pdf in batches:
-            ids = tokens.encode([t if isinstance(t, str) else "" for t in pdf["text"]])
-            out = [row for d, x in zip(pdf["doc_id"], ids, strict=True) for row in cut(d, x + end, window)]
-            yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        for batch in batches:
+            gc.disable()  # encoding makes no cycles, and collections would walk every word
+            try:
+                ids = tokens.encode([t or "" for t in batch.column("text").to_pylist()])
+                out = [row for d, x in zip(batch.column("doc_id").to_pylist(), ids, strict=True) for row in cut(d, x + end, window)]
+            finally:
+                gc.enable()
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [()] * 5)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 
 
 class Rooms:
@@ -180,15 +185,16 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = WINDOW
     full = F.col("length") == window
     shards = max(1, -(-cuts.filter(~full).count() // shard_rests))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "n"], kind="stable")
-        bins, offsets = best_fit_decreasing(pdf["length"].tolist(), window)
-        shard = int(pdf["shard"].iloc[0])
-        return pdf.assign(sequence_id=[(b * shards + shard) * 2 + 1 for b in bins], offset=offsets)[list(names)]
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("n", "ascending")])
+        bins, offsets = best_fit_decreasing(table.column("length").to_pylist(), window)
+        shard = table.column("shard")[0].as_py()
+        placed = {"sequence_id": pa.array([(b * shards + shard) * 2 + 1 for b in bins], pa.int64()), "offset": pa.array(offsets, pa.int64())}
+        return pa.table({n: placed[n] if n in placed else table.column(n) for n in names})
 
     names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
     schema = ", ".join(f"{n} long" for n in names)
-    rests = cuts.filter(~full).withColumn("shard", F.pmod(F.xxhash64("n"), F.lit(shards))).groupBy("shard").applyInPandas(run, schema)
+    rests = cuts.filter(~full).withColumn("shard", F.pmod(F.xxhash64("n"), F.lit(shards))).groupBy("shard").applyInArrow(run, schema)
     whole = cuts.filter(full).select(*names[:5], (F.col("n") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return whole.unionByName(rests)
 

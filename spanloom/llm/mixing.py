@@ -5,14 +5,15 @@ its share (its tokens times max_epochs) takes what it has and the rest goes to i
 never gets more than its subtree holds, shortages are settled among siblings before they reach an ancestor's.
 
 A leaf reads its documents in epochs, each in an own seeded order: whole epochs as often as they fit, then the longest
-prefix of the next epoch that fits. The prefix is found by 4096 slices of the order, summed with partial aggregation;
-only the documents of the one slice that the cut falls into are sorted, so a leaf of any size spreads over tasks.
+prefix of the next epoch that fits. The prefix is found by 4096 slices of the order, summed with partial aggregation,
+then by 4096 slices of the one slice that the cut falls into; only a 2^24th of a leaf's documents are sorted, by their
+ids alone, so a leaf of any size spreads over tasks.
 
 Tokens are words here (`words` of common). Everything is DataFrame expressions.
 
 Defined results: null languages and sources are the empty name; null or blank texts hold no tokens and come with their
 slice; rows of one doc_id share their place in the order and come together; an empty table, or a budget of 0, gives no
-rows with tokens; extra columns are kept.
+rows with tokens; a text counts whole, however long; extra columns are kept, but for those that the facts are named like.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 from .common import Workspace, match_counted, words
 
 TREE = ("_domain", "_lang", "_source")
-SLICE = 3  # hexadecimal digits
+SLICE = 3  # hexadecimal digits of a level
+LEVELS = 2
+FACTS = ("domain", "epoch", "n_tokens")
 #: Leaves that may be broadcast; beyond it documents meet the leaves by a shuffled join.
 FEW_LEAVES = 100_000
 
@@ -100,22 +103,26 @@ def mix(docs: DataFrame, targets: Targets = TARGETS, domain=by_number, facts: bo
     plan = work.save(plan, "plan")
     few = plan.count() <= FEW_LEAVES
     meet = lambda rows, plan: rows.join(F.broadcast(plan.drop("n")), list(TREE)) if few else match_counted(rows, plan, list(TREE), "n").drop("n")
-    sliced = meet(slim, plan.select(*TREE, "n", "whole", "rest")).select(*TREE, "rest", "tokens", F.substring(_order(F.col("whole"), targets.seed, F.col("doc_id")), 1, SLICE).alias("slice"))
-    sums = sliced.groupBy(*TREE, "rest", "slice").agg(F.sum("tokens").alias("t"))
-    upto = F.sum("t").over(W.partitionBy(*TREE).orderBy("slice"))
-    # The first slice that the prefix doesn't hold in whole, and the tokens before it.
-    cut = sums.withColumn("end", upto).filter(F.col("end") > F.col("rest")).groupBy(*TREE).agg(F.min(F.struct("slice", (F.col("end") - F.col("t")).alias("before"))).alias("cut"))
-    plan = work.save(plan.join(cut, list(TREE), "left"), "cuts")
+    own = meet(slim, plan.select(*TREE, "n", "whole", "rest")).withColumn("h", _order(F.col("whole"), targets.seed, F.col("doc_id")))
+    own = work.save(own.select(*TREE, "doc_id", "tokens", "rest", "h"), "order")
+    # at: the slice that the prefix ends in, level by level; before: the tokens of the order up to it.
+    here, cut = own.withColumns({"at": F.lit(""), "before": F.lit(0).cast("long")}), None
+    for depth in range(1, LEVELS + 1):
+        inner = here if cut is None else meet(own, cut.select(*TREE, "n", "at", "before")).filter(F.col("h").startswith(F.col("at")))
+        sums = inner.groupBy(*TREE, "rest", "before", F.substring("h", 1, SLICE * depth).alias("at")).agg(F.sum("tokens").alias("t"))
+        end = F.col("before") + F.sum("t").over(W.partitionBy(*TREE).orderBy("at"))
+        past = sums.withColumn("end", end).filter(F.col("end") > F.col("rest"))
+        cut = work.save(past.groupBy(*TREE).agg(F.min(F.struct("at", (F.col("end") - F.col("t")).alias("before"))).alias("c")).join(plan.select(*TREE, "n"), list(TREE)).select(*TREE, "n", "c.*"), f"cut{depth}")
+    edge = meet(own, cut.select(*TREE, "n", "at", "before")).filter(F.col("h").startswith(F.col("at"))).select(*TREE, "h", "tokens", "before", "rest").groupBy(*TREE, "h", "before", "rest").agg(F.sum("tokens").alias("t"))
+    upto = F.sum("t").over(W.partitionBy(*TREE).orderBy("h")) + F.col("before")
+    # The first place of the order that no longer fits; without one the whole epoch fits.
+    stop = edge.withColumn("end", upto).filter(F.col("end") > F.col("rest")).groupBy(*TREE).agg(F.min("h").alias("stop"))
+    plan = work.save(plan.join(stop, list(TREE), "left"), "stops")
     row = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"), *(c.alias(n) for n, c in path.items()))
-    here = meet(row, plan.select(*TREE, "n", "whole", "rest", "cut")).withColumn("h", _order(F.col("whole"), targets.seed, F.col("_id")))
-    at = F.substring("h", 1, SLICE)
-    inside = F.col("cut").isNull() | (at < F.col("cut.slice"))
-    epochs = F.when(inside, F.sequence(F.lit(0).cast("long"), F.col("whole"))).when(F.col("whole") > 0, F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)).otherwise(F.array().cast("array<bigint>"))
-    sure = here.select("row", F.col("_domain").alias("domain"), F.explode(epochs).alias("epoch"))
-    edge = here.filter(at == F.col("cut.slice")).withColumn("t", F.size(words(F.col("row.text"))))
-    upto = F.sum("t").over(W.partitionBy(*TREE).orderBy("h").rangeBetween(W.unboundedPreceding, W.currentRow))
-    last = edge.withColumn("end", upto + F.col("cut.before")).filter(F.col("end") <= F.col("rest")).select("row", F.col("_domain").alias("domain"), F.col("whole").alias("epoch"))
-    both = sure.unionByName(last)
+    here = meet(row, plan.select(*TREE, "n", "whole", "stop")).withColumn("h", _order(F.col("whole"), targets.seed, F.col("_id")))
+    last = F.col("whole") - F.when(F.col("stop").isNull() | (F.col("h") < F.col("stop")), 0).otherwise(1)
+    epochs = F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last)).otherwise(F.array().cast("array<bigint>"))
+    both = here.select("row", F.col("_domain").alias("domain"), F.explode(epochs).alias("epoch"))
     if not facts:
         return both.select("row.*")
-    return both.select("row.*", "domain", "epoch", F.size(words(F.col("row.text"))).cast("long").alias("n_tokens"))
+    return both.select(*(F.col("row").getField(c).alias(c) for c in docs.columns if c not in FACTS), "domain", "epoch", F.size(words(F.col("row.text"))).cast("long").alias("n_tokens"))

@@ -9,7 +9,8 @@ Everything on the rows is DataFrame expressions. What leaves the cluster is the
 shape bits, at most 3^6 * 2^3 rows whatever the corpus; EM and the classifier's fit run over these counts.
 
 Defined results: a null or empty text has no spans; the sha256 of no spans is that of the empty string; repeated rows are
-judged each for itself; an empty table gives no rows, and a model that adds nothing; extra columns are kept by `find`.
+judged each for itself; an empty table gives no rows, and a model that adds nothing; extra columns are kept by
+`find`, but for those named like a kind; a text of any length is searched whole, in time linear in it.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ from pyspark.sql import functions as F
 
 from .common import let
 
-#: The base patterns. Java's possessive loops match what the plain ones do here and use no stack.
+#: The base patterns. Java's possessive loops match what the plain ones do here and use no stack. A match
+#: from inside a run goes on like one from the run's start, so only starts of runs (or ends of matches) are tried.
 BASE = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
@@ -36,6 +38,9 @@ CANDIDATE = r"[A-Za-z0-9_/+=-]{16,}+"
 #: Gazetteer of names that secrets are stored under, and of prefixes that issuers put on keys.
 NAMES = "password|passwd|pwd|secret|token|api_?key|access_?key|auth|bearer|credential"
 PREFIXES = "AKIA|ASIA|ghp_|gho_|sk-|xoxb-|xoxp-|eyJ"
+SHAPED = f"^(?:{PREFIXES})[A-Za-z0-9_-]{{12,}}$"
+NAMED = f"(?:{NAMES})[\\s\"':=]*$"
+OWN = f"(?i)^(?:{NAMES})="
 BEFORE = 24
 LABELERS = ("key_shape", "hex_run", "own_name", "name_before", "mixed", "harmless_before")
 SHAPES = ("long", "upper_and_digit", "many_digits")
@@ -100,21 +105,21 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def candidates(text: Column) -> Column:
-    """Long tokens of letters and digits, with the text before each: array<struct<start,end,m,before>>."""
-    some = F.filter(matches(text, CANDIDATE), lambda s: (s["m"].rlike("[0-9]") & s["m"].rlike("[A-Za-z]")) | s["m"].rlike(f"^(?:{PREFIXES})[A-Z0-9]{{12,}}$"))
-    return F.transform(some, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["m"].alias("m"), F.lower(F.substring(text, F.greatest(F.lit(1), s["start"] - BEFORE + 1), F.least(F.lit(BEFORE), s["start"]))).alias("before")))
+    """Long tokens of letters and digits, of an issuer's shape or named as a credential, with the text before each."""
+    found = F.transform(matches(text, CANDIDATE), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["m"].alias("m"), F.lower(F.substring(text, F.greatest(F.lit(1), s["start"] - BEFORE + 1), F.least(F.lit(BEFORE), s["start"]))).alias("before")))
+    return F.filter(found, lambda c: (c["m"].rlike("[0-9]") & c["m"].rlike("[A-Za-z]")) | c["m"].rlike(SHAPED) | c["before"].rlike(NAMED) | c["m"].rlike(OWN))
 
 
 def votes(c: Column) -> dict[str, Column]:
     m, before, none = c["m"], c["before"], F.lit(None).cast("int")
-    shaped = m.rlike(f"^(?:{PREFIXES})[A-Za-z0-9_-]{{12,}}$")
+    shaped = m.rlike(SHAPED)
     few_digits = ~shaped & (F.length(F.regexp_replace(m, "[^0-9]", "")) < 3)
     mixed = F.length(F.regexp_replace(m, "[A-Za-z_/+=-]*([0-9]+)", "x")) >= 3
     return {
         "key_shape": F.when(shaped, 1).otherwise(none),
         "hex_run": F.when(m.rlike("(?:^|[^A-Za-z0-9])[0-9a-f]{16,}$") & ~few_digits, 1).when(few_digits, 0).otherwise(none),
-        "own_name": F.when(m.rlike(f"(?i)^(?:{NAMES})="), 1).otherwise(none),
-        "name_before": F.when(before.rlike(f"(?:{NAMES})[\\s\"':=]*$"), 1).otherwise(none),
+        "own_name": F.when(m.rlike(OWN), 1).otherwise(none),
+        "name_before": F.when(before.rlike(NAMED), 1).otherwise(none),
         "mixed": F.when(mixed, 1).when(shaped, none).otherwise(0),
         "harmless_before": F.when(before.rlike(r"(?:https?:|www\.|commit|version|isbn|doi)\S*\s*$") | m.contains("//"), 0).otherwise(none),
     }
@@ -223,7 +228,8 @@ def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
     row = docs.select(F.struct("*").alias("row"), text.alias("t"))
     base = row.select("row", "t", F.struct(*(s.alias(k) for k, s in base_spans(F.col("t")).items())).alias("b"))
     full = base.select("row", "b", secret_spans(F.col("t"), [F.col(f"b.{k}") for k in BASE], model).alias("secret"))
-    return full.select("row.*", *(F.col(f"b.{k}").alias(k) for k in BASE), "secret")
+    own = (F.col("row").getField(c).alias(c) for c in docs.columns if c not in KINDS)
+    return full.select(*own, *(F.col(f"b.{k}").alias(k) for k in BASE), "secret")
 
 
 def joined(kinds: tuple[str, ...]) -> Column:

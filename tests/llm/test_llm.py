@@ -10,7 +10,9 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from spanloom.llm import classifier, embedding_dedup, line_dedup, mixing, ngram_join, packing, pii, quality_rules, suffix_dedup, warc
+from pyspark.sql import functions as F
+
+from spanloom.llm import classifier, embedding_dedup, induced_sort, line_dedup, mixing, ngram_join, packing, pii, quality_rules, suffix_dedup, warc
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, row string, rows string, n long, key string"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -99,6 +101,21 @@ def test_classifier_learns_and_ignores_held_out(spark, empty):
     assert classifier.score(empty, *classifier.fit(empty, labels.limit(0))).count() == 0
 
 
+def test_scores_are_a_texts_own(spark):
+    rng = np.random.default_rng(3)
+    table = rng.normal(size=classifier.BUCKETS).astype(np.float32)
+    texts = ["hello world", "", "a", None, "hello world", " x\ny ", "é" * 50, "to be or to be " * 900]
+    alone = [classifier.score_texts([t], table, 0.1)[0] for t in texts]
+    for order in (range(8), reversed(range(8)), (3, 0, 0, 7, 1)):
+        order = list(order)
+        assert classifier.score_texts([texts[i] for i in order], table, 0.1).tolist() == [alone[i] for i in order]
+    ids = [(1 << 60) + 1, None, (1 << 60) + 3, (1 << 60) + 3]
+    docs = spark.createDataFrame([(i, "some text", 1) for i in ids], "doc_id long, text string, score long")
+    assert Counter(r.doc_id for r in classifier.score(docs, table, 0.1).collect()) == Counter(ids)
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert Counter(r.doc_id for r in packed) == Counter(ids)
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(12, 8))
@@ -156,13 +173,64 @@ def test_pii(docs, rows, empty):
 
 def test_warc_round_trip(spark):
     pages = spark.createDataFrame([(1, "http://A.example.com/x", "hé"), (2, None, None), (3, "http://b.example.com/", "hé"), (4, "http://b.example.com/", ""), (5, "http://c.example.org/?q=1", "solo")], "page_id long, url string, html string")
-    directory, work = warc.archive(pages)
-    out = {r.page_id: r for r in warc.read_all(directory, work, payloads=True).collect()}
+    captures, work = warc.archive(pages)
+    out = {r.page_id: r for r in warc.resolve(captures, work, payloads=True).collect()}
     assert [out[i].refers_to for i in range(1, 6)] == [3, 4, None, None, None] and bytes(out[3].payload) == "hé".encode()
     assert out[1].payload_bytes == 3 and out[1].payload_digest == out[3].payload_digest == warc.digest("hé".encode())
-    assert sorted(x[0] for x in warc.lookup(spark, directory, work, "http://b.example.com/")) == [3, 4]
-    directory, work = warc.archive(pages.limit(0))
-    assert warc.read_all(directory, work).count() == 0
+    assert sorted(x[0] for x in warc.lookup(work, "http://b.example.com/")) == [3, 4]
+    captures, work = warc.archive(pages.limit(0))
+    assert warc.resolve(captures, work).count() == 0
+
+
+def test_warc_large_null_and_repeated_ids(spark):
+    big, odd = 1 << 60, "http://x.example.com/a b\r\nWARC-Type: none"
+    pages = [(big + 1, "u://a/", "x"), (big + 2, "u://a/", "x"), (big + 3, "u://a/", "y" * 100_000), (None, "u://a/", "z"), (7, odd, "q"), (7, odd, "q"), (None, None, "z")]
+    pages += [(i, "u://a/", f"page {i}") for i in range(1000, 1700)]
+    captures, work = warc.archive(spark.createDataFrame([(*p, "k") for p in pages], "page_id long, url string, html string, key string"))
+    out = warc.resolve(captures, work, payloads=True).collect()
+    assert len(out) == len(pages) and Counter(r.page_id for r in out) == Counter(p[0] for p in pages)
+    refers = {r.page_id: r.refers_to for r in out if r.record_type == "revisit"}
+    assert refers == {big + 1: big + 2, 7: 7, None: None} and {r.url for r in out} == {"u://a/", odd, None}
+
+
+def test_clashing_names_give_way(spark, rows):
+    d = spark.createDataFrame([(i, t, "en", "s1", 5, "x") for i, t, *_ in rows[:14]], "doc_id long, text string, lang string, source string, n_tokens long, domain string")
+    d = d.withColumns({"epoch": F.lit("e"), "email": F.lit("m"), "n_lines": F.lit("n"), "span": F.lit(1), "rest": F.lit(2), "h": F.lit(3)})
+    assert all(r.domain == "code" or r.domain in ("web", "books", "reference") for r in mixing.mix(d, facts=True).collect())
+    assert dict(pii.find(d).dtypes)["email"].startswith("array") and dict(line_dedup.dedup(d, full=True).dtypes)["n_lines"] == "bigint"
+
+
+def test_base_spans_equal_plain_patterns(spark):
+    rng = random.Random(2)
+    plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"}
+    texts = ["".join(rng.choice("a_.1@-5 ") for _ in range(rng.randrange(60))) for _ in range(1500)] + ["x" * 60_000 + " @ ", "1" * 60_000 + "."]
+    found = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for r in found.select("doc_id", "email", "ip").collect():
+        t = texts[r.doc_id]
+        assert [(s.start, s.end) for s in r.email] == [m.span() for m in re.finditer(plain["email"], t)]
+        assert [(s.start, s.end) for s in r.ip] == [m.span() for m in re.finditer(plain["ip"], t) if all(int(x) <= 255 for x in m[0].split("."))]
+
+
+def test_pipeline_lets_emptied_documents_go(spark, rows):
+    import corpus_pipeline
+
+    d = spark.createDataFrame([r[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.lines(spark, d, "").collect()}
+    assert 7 in kept and 8 not in kept and {0, 1, 2} <= kept
+
+
+@pytest.mark.parametrize(("held", "base"), [(1 << 20, 1 << 20), (64, 0), (64, 4)])
+def test_induced_sort_with_queues_on_disk(tmp_path, held, base):
+    rng = random.Random(held + base)
+    for letters in (b"a", b"ab", b"abc", bytes(range(97, 123))):
+        parts = [bytes(rng.choice(letters) for _ in range(rng.randrange(1, 80))) for _ in range(5)]
+        parts.append(parts[0] + parts[1])
+        text = np.frombuffer(b"\xff".join(parts) + b"\xff", np.uint8) + np.uint8(1)
+        raw, pos, lcp = text.tobytes(), [], []
+        induced_sort.ordered(text, 9, lambda p, x: (pos.extend(p.tolist()), lcp.extend(x.tolist())), f"file://{tmp_path}/q", held, base)  # noqa: B023
+        assert pos == sorted(range(len(raw)), key=lambda i: raw[i:], reverse=True)[:-1]
+        for a, b, n in zip(pos[:-1], pos[1:], lcp[1:], strict=True):
+            assert raw[a : a + n] == raw[b : b + n] and (n == 9 or raw[a + n : a + n + 1] != raw[b + n : b + n + 1])
 
 
 def test_line_dedup(docs, rows, empty):

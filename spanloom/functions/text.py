@@ -32,8 +32,8 @@ def mark_table() -> tuple[str, str]:
     return "".join(pairs), "".join(pairs.values())
 
 
-#: Combining marks of the five Vietnamese tones, numbered from 1.
-TONES = ("̀", "́", "̉", "̃", "̣")
+#: Combining marks of the five Vietnamese tones in the order of their code points, numbered from 1.
+TONES = ("\u0300", "\u0301", "\u0303", "\u0309", "\u0323")
 
 
 @cache
@@ -74,7 +74,7 @@ def bare_place(x: Column) -> Column:
 
 
 def group_key(x: Column) -> Column:
-    return F.trim(F.regexp_replace(strip_marks(F.lower(x)), r"(?U)[^\w/]+", " "))
+    return F.trim(F.regexp_replace(strip_marks(F.lower(nfc(x))), r"(?U)[^\w/]+", " "))
 
 
 def canon(token: Column) -> Column:
@@ -84,6 +84,11 @@ def canon(token: Column) -> Column:
     return F.concat(F.translate(token, src, plain), tone)
 
 
+def plain_key(x: Column) -> Column:
+    """NFC, lower case, single spaces, none outside; punctuation stays."""
+    return F.trim(squeeze(F.lower(nfc(x))))
+
+
 def letters_only(x: Column) -> Column:
     """Maximal runs of letters (and letter-like numbers) of the lower-cased text."""
     return F.regexp_extract_all(F.lower(x), F.lit(r"[\p{L}\p{Nl}\p{No}]+"), F.lit(0))
@@ -107,14 +112,25 @@ LETTERS = {"p": "phường", "f": "phường", "q": "quận", "h": "huyện"}
 
 
 def expand(line: Column) -> Column:
-    """Abbreviations written out, in the case they had; a line without any stays as it is."""
+    """Abbreviations written out, in title case where they began with a capital; a line without any stays as it is.
+
+    Short forms of several letters count where no letter touches them, single letters before a dot or, with a space at
+    most between, a digit."""
     out = line
     for short, full in {**ABBREVIATIONS, **LETTERS}.items():
-        tail = r"(?:\.\s*|(?=\d))" if short in LETTERS else r"(?:\.\s*|\s+|(?=\d))"
-        for key, value in ((short, full), (short.capitalize(), full.capitalize()), (short.upper(), full.title())):
-            if key != short or value == full:
-                out = F.regexp_replace(out, rf"(?<![\p{{L}}\p{{N}}]){key}{tail}", f"{value} ")
-    return F.when(out == line, line).otherwise(F.trim(squeeze(out)))
+        before, tail = (r"(?<![\p{L}\p{N}])", r"(?:\.\s*|(?=\s?\p{Nd}))") if short in LETTERS else (r"(?<!\p{L})", r"\.?(?!\p{L})")
+        for first, value in ((short[0], full), (short[0].upper(), full.title())):
+            rest = "".join(f"[{c}{c.upper()}]" for c in short[1:])
+            out = F.regexp_replace(out, f"{before}{first}{rest}{tail}", f"{value} ")
+    words = "khu|thành|phường|quận|huyện|số"
+    tidy = F.regexp_replace(out, rf"(?iu)(\p{{Nd}})(?=(?:{words})(?![\p{{L}}\p{{N}}_]))", "$1 ")
+    tidy = F.trim(F.regexp_replace(F.regexp_replace(tidy, " {2,}", " "), r" ([,.)])", "$1"))
+    return F.when(out == line, line).otherwise(tidy)
+
+
+def url_path(url: Column) -> Column:
+    """The path of a URL: what lies between its host and a query or fragment."""
+    return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
 def stem(path: Column) -> Column:

@@ -28,7 +28,7 @@ def bad_orthography(words: Column) -> Column:
 
 def level_hyphen(line: Column) -> Column:
     """Whether a hyphen stands anywhere but between two digits, spaces around it aside."""
-    return line.rlike(r"(?U)(?:^|[^\d\s])\s*-|-\s*(?:[^\d\s]|$)")
+    return F.regexp_replace(line, r"(?U)(?<=\d)\s*-\s*(?=\d)", "").contains("-")
 
 
 def repeated_gram(words: Column, n: int) -> Column:

@@ -27,9 +27,61 @@ def decision(identical: Column, winner: Column) -> Column:
     return F.when(identical, "agree").when(winner.isNull(), "inconclusive").when(winner == "old", "model_better").when(winner == "tie", "tie").otherwise("deepseek_better")
 
 
-def confirmed(decided: Column, severity_max: Column, threshold: Column) -> Column:
+def confirmed(decided: Column, severity_total: Column, threshold: Column) -> Column:
     """Whether an error counts as confirmed: null while the threshold is."""
-    return F.when(decided != "deepseek_better", F.lit(False)).otherwise(severity_max >= threshold)
+    return F.when(decided != "deepseek_better", F.lit(False)).otherwise(severity_total >= threshold)
+
+
+def truth_winner(f1_old: Column, f1_new: Column) -> Column:
+    """Which side a gold labeling prefers: old, new or, within 1e-9, tie."""
+    return F.when(F.abs(f1_old - f1_new) < 1e-9, "tie").when(f1_old > f1_new, "old").otherwise("new")
+
+
+def calibration(cases: DataFrame) -> DataFrame:
+    """One row from cases(winner: old, new, tie or null for a flip; truth; identical): accuracy and kappa over judged cases
+    with a verdict, precision and recall of finding errors, false alarms, flips, and equal cases that were wrong."""
+    judged = cases.filter(~F.col("identical"))
+    n = lambda c: F.count_if(c).cast("long")
+    hit, truth = F.col("winner") == "new", F.col("truth") == "new"
+    facts = judged.agg(
+        F.count("*").alias("n_judged"), n(F.col("winner").isNull()).alias("flips"), n(F.col("winner").isNotNull()).alias("n_verdicts"),
+        n(F.col("winner") == F.col("truth")).alias("right"), n(hit & truth).alias("tp"), n(hit).alias("n_found"), n(truth).alias("n_errors"),
+        n(hit & ~truth).alias("false_alarms"), n(~truth).alias("n_sound"),
+    )
+    equal = cases.filter("identical").agg(F.count("*").alias("n_equal"), n(F.col("truth") == "new").alias("equal_but_wrong"))
+    k = kappa(judged.filter(F.col("winner").isNotNull()), "winner", "truth").select("kappa")
+    one = facts.crossJoin(equal).crossJoin(k)  # one row each
+    r = lambda a, b: ratio(F.col(a), F.col(b))
+    return one.select("n_judged", "n_verdicts", r("right", "n_verdicts").alias("accuracy"), "kappa", r("tp", "n_found").alias("detect_precision"), r("tp", "n_errors").alias("detect_recall"), r("false_alarms", "n_sound").alias("false_alarm"), r("flips", "n_judged").alias("flip_rate"), r("equal_but_wrong", "n_equal").alias("agree_but_wrong"))
+
+
+def error_type(budget: Column, fatal: Column, attempts: Column, most: int) -> Column:
+    """What an exception in a stage leads to: budget_exceeded and failed end a case, retry does not."""
+    return F.when(budget, "budget_exceeded").when(fatal | (attempts >= most), "failed").otherwise("retry")
+
+
+def verified_recommendation(judge: Column, quality: Column, by_level: Column, limits: dict) -> Column:
+    """struct<status,reasons,slices,corrected_error_rate>.
+
+    judge: struct<kappa,false_alarm,flip_rate,precision>, null without a calibration; quality: struct<k,n,rate,ci_low> of
+    confirmed errors; by_level: array of the same with level. limits: min_severity, min_kappa, max_false_alarm,
+    max_flip_rate, min_cases, max_error_rate; one that is None leaves everything uncalibrated."""
+    missing = [k for k, v in limits.items() if v is None]
+    empty = F.array().cast("array<string>")
+    row = lambda status, reasons, slices, rate: F.struct(F.lit(status).alias("status") if isinstance(status, str) else status.alias("status"), reasons.alias("reasons"), slices.alias("slices"), rate.cast("double").alias("corrected_error_rate"))
+    none = F.lit(None)
+    if missing:
+        return row("uncalibrated", F.array(*map(F.lit, missing)), empty, none)
+    weak = F.array_compact(F.array(
+        F.when(judge["kappa"].isNull() | (judge["kappa"] < limits["min_kappa"]), "kappa"),
+        F.when(judge["false_alarm"].isNull() | (judge["false_alarm"] > limits["max_false_alarm"]), "false_alarm"),
+        F.when(judge["flip_rate"] > limits["max_flip_rate"], "flip_rate"),
+    ))
+    over = lambda q: (q["k"] >= limits["min_cases"]) & (F.coalesce(q["ci_low"], F.lit(0.0)) >= limits["max_error_rate"])
+    slices = F.transform(F.filter(by_level, over), lambda q: q["level"])
+    status = F.when(over(quality) | (F.size(slices) > 0), "retrain").otherwise("no_retrain")
+    fine = row(status, F.array(F.concat_ws("/", quality["k"].cast("string"), quality["n"].cast("string"))), slices, quality["rate"] * judge["precision"])
+    return F.when(judge.isNull(), row("uncalibrated", F.array(F.lit("calibration")), empty, none)).when(F.size(weak) > 0, row("judge_unreliable", weak, empty, none)).otherwise(fine)
 
 
 def kappa(pairs: DataFrame, a: str, b: str) -> DataFrame:

@@ -17,16 +17,29 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD, -1), lambda t: t != "")
 
 
+def _digit(t: Column) -> Column:
+    return F.substring(t, 1, 1).between("0", "9")
+
+
+def _capital(t: Column) -> Column:
+    return F.substring(t, 1, 1).between("A", "Z")
+
+
+def _ends(t: Column, *marks: str) -> Column:
+    return F.substring(t, -1, 1).isin(*marks)
+
+
 def rule_a(t: Column) -> Column:
-    return F.when(t.rlike("^[0-9]"), "L6").when(t.rlike("^[A-Z]"), "L5").when(t.rlike("[,.;:]$"), "L4").otherwise("O")
+    return F.when(_digit(t), "L6").when(_capital(t), "L5").when(_ends(t, ",", ".", ";", ":"), "L4").otherwise("O")
 
 
 def rule_b(t: Column) -> Column:
-    return F.when(t.rlike("^[0-9]"), "L6").when(t.rlike("^[A-Z]") & (F.length(t) > 3), "L5").when(t.rlike("[,;:]$"), "L3").otherwise("O")
+    return F.when(_digit(t), "L6").when(_capital(t) & (F.length(t) > 3), "L5").when(_ends(t, ",", ";", ":"), "L3").otherwise("O")
 
 
 def rule_c(t: Column) -> Column:
-    return F.when(t.rlike("^[0-9]"), "L6").when(t.rlike("^[A-Zaeiou]") & (F.length(t) > 3), "L5").when(t.rlike("[,;:]$"), "L3").otherwise("O")
+    first = F.substring(t, 1, 1)
+    return F.when(_digit(t), "L6").when((_capital(t) | first.isin(*"aeiou")) & (F.length(t) > 3), "L5").when(_ends(t, ",", ";", ":"), "L3").otherwise("O")
 
 
 def runs_of(labels: Column) -> Column:
@@ -51,8 +64,6 @@ def greedy_pairs(old: Column, new: Column) -> Column:
     return F.aggregate(F.array_sort(every), F.array().cast(PAIR), lambda acc, p: F.when(free(acc, p), F.concat(acc, F.array(p))).otherwise(acc))
 
 
-
-
 def weight(level: Column) -> Column:
     table = F.create_map(*(F.lit(x) for kv in WEIGHTS.items() for x in kv))
     return F.coalesce(F.try_element_at(table, level), F.lit(1.0))
@@ -87,20 +98,29 @@ def diff_items(old: Column, new: Column) -> Column:
     return let(F.struct(nth(old).alias("o"), nth(new).alias("n")), build)
 
 
-def compare(old: Column, new: Column) -> Column:
-    """The diff struct of two arrays of spans."""
+KINDS = ("COR", "INC", "PAR", "MIS", "SPU", "TRUNC")
+
+
+def compare(old: Column, new: Column, truncation: bool = False) -> Column:
+    """The diff struct of two arrays of spans. With truncation, equal spans that differ in that flag are TRUNC of .1."""
+
+    def flagged(i: Column) -> Column:
+        off = (i["kind"] == "COR") & (i["old"]["truncated"] != i["new"]["truncated"])
+        return F.when(off, i.withField("kind", F.lit("TRUNC")).withField("severity", F.lit(0.1))).otherwise(i)
 
     def of(items: Column) -> Column:
         sev = F.transform(items, lambda i: i["severity"])
         off = F.filter(items, lambda i: i["kind"] != "COR")
         levels = F.array_compact(F.flatten(F.transform(off, lambda i: F.array(i["old"]["level"], i["new"]["level"]))))
+        count = lambda k: F.size(F.filter(items, lambda i: i["kind"] == k)).alias(k)
         return F.struct(
-            (F.size(off) == 0).alias("identical"), items.alias("items"), F.size(old).alias("n_old"), F.size(new).alias("n_new"),
+            (F.size(off) == 0).alias("identical"), items.alias("items"), F.struct(*map(count, KINDS)).alias("counts"), F.size(old).alias("n_old"), F.size(new).alias("n_new"),
             F.round(F.aggregate(sev, F.lit(0.0), lambda a, x: a + x), 4).alias("severity_total"), F.coalesce(F.array_max(sev), F.lit(0.0)).alias("severity_max"),
-            F.array_sort(F.array_distinct(levels)).alias("levels_involved"), ((F.size(old) == 0) != (F.size(new) == 0)).alias("abstain"),
+            F.array_sort(F.array_distinct(levels)).alias("levels_involved"), F.when((F.size(old) == 0) & (F.size(new) > 0), "old_empty").when((F.size(old) > 0) & (F.size(new) == 0), "new_empty").alias("abstain"),
         )
 
-    return let(diff_items(F.array_sort(old), F.array_sort(new)), of)
+    found = diff_items(F.array_sort(old), F.array_sort(new))
+    return let(F.transform(found, flagged) if truncation else found, of)
 
 
 def multiset_scores(pred: DataFrame, gold: DataFrame, case: str, *key: str) -> DataFrame:

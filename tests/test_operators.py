@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from spanloom import schema
 from spanloom.functions import stats, text
 from spanloom.operators import corpus, decisions, match, spans
 
@@ -33,7 +34,10 @@ def test_validator_repairs_and_reports(spark):
     v = spans.validate_spans(F.lit("a b a"), F.array(sp(0, 1, "L5", "b"), sp(3, 4, "L5", "a"), sp(0, 1, "L9", "a"), sp(0, 1, "L5", "z")))
     got = one(spark, v)[0]
     assert [(s.start, s.end) for s in got.spans] == [(2, 3)]
-    assert [h.rule for h in got.hard] == ["offset_ambiguous", "level_invalid", "span_not_in_input"] and got.soft[0].rule == "offset_fixed"
+    assert [h.rule for h in got.hard] == ["level_invalid", "offset_ambiguous", "text_not_in_input"] and got.soft[0].rule == "offset_repaired"
+    # Spans that fit are placed before any is repaired, in whatever order they come.
+    got = one(spark, spans.validate_spans(F.lit("a b a"), F.array(sp(3, 4, "L5", "a"), sp(0, 1, "L5", "a"))))[0]
+    assert [(s.start, s.end) for s in got.spans] == [(0, 1), (4, 5)] and not got.hard
 
 
 def test_compare_pairs_by_overlap(spark):
@@ -65,3 +69,45 @@ def test_gate(spark):
     df = spark.createDataFrame(rows, "i boolean, w string")
     got = [r[0] for r in df.select(decisions.decision(F.col("i"), F.col("w"))).collect()]
     assert got == ["agree", "inconclusive", "model_better", "tie", "deepseek_better"]
+
+
+def test_tags_that_do_not_fit_their_text(spark):
+    t = F.lit("ab cd")
+    row = one(spark, spans.locate_tokens(t, tags("ab")), spans.spans_from_bio(t, tags("ab", "cd"), tags("O")), spans.validate_bio(t, tags("ab", "cd"), tags("O"), F.array(sp(0, 2, "L1", "ab"))), spans.islands(tags("X", "I-L1", "I-L1", "B-L1", "O")))
+    assert row[0] is None and row[1] is None and row[2] == ["length_mismatch"]
+    assert [(s.first, s.last, s.level) for s in row[3]] == [(1, 2, "L1"), (3, 3, "L1")]
+    parse = one(spark, spans.validate_parse(t, tags("ab", "cd"), tags("B-L1", "O"), F.array(sp(9, 9, "L1", "ab"))))[0]
+    assert parse.ok and [s.rule for s in parse.soft] == ["offset_repaired"] and parse.bio == []
+
+
+def test_diff_counts_and_flags(spark):
+    cut = spans.span(F.lit(0), F.lit(2), F.lit("L3"), F.lit("ab"), F.lit(True))
+    row = one(spark, match.compare(F.array(cut), F.array(sp(0, 2, "L3", "ab")), truncation=True), match.compare(F.array(cut), F.array(sp(0, 2, "L3", "ab"))), match.compare(F.array().cast("array<" + schema.SPAN + ">"), F.array(cut)))
+    assert row[0].counts.TRUNC == 1 and row[0].severity_total == 0.1 and row[1].identical and row[2].abstain == "old_empty" and row[2].counts.MIS == 1
+
+
+def test_hyphens_and_abbreviations(spark):
+    lines = ["12 - 34", "5 -6", "1--2", "a - 5", "7 -", "no"]
+    assert [one(spark, corpus.level_hyphen(F.lit(x)))[0] for x in lines] == [False, False, True, True, True, False]
+    want = {"kp, 3": "khu phố, 3", "p 12": "phường 12", "KP.3 Q.1": "Khu Phố 3 Quận 1", "12kp": "12 khu phố", "tp hcm": "thành phố hcm", "up  x": "up  x", "ở P6": "ở Phường 6"}
+    for short, full in want.items():
+        assert one(spark, text.expand(F.lit(short)))[0] == full, short
+    assert one(spark, text.canon(F.lit("hoả")), text.canon(F.lit("hoã")))[:] == ("hoa4", "hoa3")
+
+
+def test_recommendation(spark):
+    limits = {"min_severity": 0.5, "min_kappa": 0.6, "max_false_alarm": 0.1, "max_flip_rate": 0.2, "min_cases": 5, "max_error_rate": 0.1}
+    judge = lambda k: F.struct(F.lit(k).alias("kappa"), F.lit(0.05).alias("false_alarm"), F.lit(0.1).alias("flip_rate"), F.lit(0.5).alias("precision"))
+    q = lambda k, n, low: F.struct(F.lit("L3").alias("level"), F.lit(k).alias("k"), F.lit(n).alias("n"), F.lit(k / n).alias("rate"), F.lit(low).alias("ci_low"))
+    go = lambda j, a, b, lim=limits: one(spark, decisions.verified_recommendation(j, a, F.array(b), lim))[0]
+    assert go(judge(0.9), q(10, 40, 0.14), q(2, 9, 0.3)).status == "retrain" and go(judge(0.9), q(10, 40, 0.14), q(6, 9, 0.3)).slices == ["L3"]
+    assert go(judge(0.9), q(10, 400, 0.01), q(2, 9, 0.3)).status == "no_retrain" and go(judge(0.2), q(1, 4, 0.1), q(2, 9, 0.3)).reasons == ["kappa"]
+    assert go(judge(0.9), q(10, 40, 0.14), q(2, 9, 0.3)).corrected_error_rate == 0.125
+    assert go(judge(0.9), q(1, 4, 0.1), q(2, 9, 0.3), limits | {"min_kappa": None}).status == "uncalibrated"
+
+
+def test_calibration(spark):
+    rows = [("new", "new", False), ("new", "old", False), ("old", "old", False), (None, "new", False), ("tie", "tie", False), (None, "new", True), (None, "tie", True)]
+    r = decisions.calibration(spark.createDataFrame(rows, "winner string, truth string, identical boolean")).first()
+    assert (r.n_judged, r.accuracy, r.detect_precision, r.detect_recall, r.flip_rate, r.agree_but_wrong) == (5, 0.75, 0.5, 0.5, 0.2, 0.5) and r.false_alarm == 1 / 3
+    assert one(spark, decisions.truth_winner(F.lit(0.5), F.lit(0.5)), decisions.truth_winner(F.lit(0.4), F.lit(0.5)))[:] == ("tie", "new")

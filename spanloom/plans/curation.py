@@ -78,17 +78,23 @@ _JUNK = "SELECT * FROM (SELECT page_id, len(regexp_extract_all(html, '&#?[A-Za-z
 
 
 def gold_leakage_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark text. Candidates meet on the hash of a benchmark's first eight words, so no
-    document is searched for every item; the text itself decides."""
-    items = read(spark, sf_dir, "benchmark").select("item_id", F.trim(F.replace("text", F.lit("\n"), F.lit(" "))).alias("item")).withColumn("w", F.split("item", " ")).filter(F.size("w") >= 8)
-    items = items.select("item_id", "item", F.xxhash64(F.array_join(F.slice("w", 1, 8), " ")).alias("h"))
+    """Documents that hold a benchmark text. Candidates meet on the hash of a benchmark's first words, all but the last of a
+    short one and eight at most, so no document is searched for every item; the text itself decides."""
+    items = read(spark, sf_dir, "benchmark").select("item_id", F.trim(F.replace("text", F.lit("\n"), F.lit(" "))).alias("item")).withColumn("w", F.split("item", " "))
+    items = items.filter("item <> ''").withColumn("k", F.greatest(F.lit(1), F.least(F.lit(8), F.size("w") - 1)))
+    lengths = sorted(r[0] for r in items.select("k").distinct().collect())  # 1 to 8
+    hashed = lambda w, i, k: F.xxhash64(F.lit(k), *(F.get(w, i + j) for j in range(k)))
+    none = F.array().cast("array<bigint>")
+    all_of = lambda w, k: F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: hashed(w, i, k))).otherwise(none)
+    key = F.coalesce(*(F.when(F.col("k") == k, hashed(F.col("w"), F.lit(0), k)) for k in lengths)) if lengths else F.lit(0).cast("long")
+    items = items.select("item_id", "item", key.alias("h"))
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    grams = docs.select("doc_id", F.explode(let(F.split("text", "[ \n]"), lambda w: F.array_distinct(F.transform(corpus.ngrams(w, 8), lambda g: F.xxhash64(g))))).alias("h"))
+    grams = docs.select("doc_id", F.explode(let(F.split("text", "[ \n]"), lambda w: F.array_distinct(F.concat(none, *(all_of(w, k) for k in lengths))))).alias("h"))
     hits = grams.join(items, "h").select("doc_id", "item_id", "item")
     return hits.join(docs, "doc_id").filter(F.contains(F.concat(F.lit(" "), F.replace("text", F.lit("\n"), F.lit(" "))), F.concat(F.lit(" "), F.col("item")))).select("doc_id", "item_id").distinct()
 
 
-_LEAK = "SELECT DISTINCT doc_id, item_id FROM documents, (SELECT item_id, trim(replace(text, chr(10), ' ')) AS item FROM benchmark) WHERE len(string_split(item, ' ')) >= 8 AND contains(' ' || replace(text, chr(10), ' '), ' ' || item)"
+_LEAK = "SELECT DISTINCT doc_id, item_id FROM documents, (SELECT item_id, trim(replace(text, chr(10), ' ')) AS item FROM benchmark) WHERE item <> '' AND contains(' ' || replace(text, chr(10), ' '), ' ' || item)"
 
 
 def resume_todo(spark: SparkSession, sf_dir: str) -> DataFrame:

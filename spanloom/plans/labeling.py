@@ -256,15 +256,16 @@ FROM documents LEFT JOIN m USING (doc_id) GROUP BY lang
 
 def grouping_sets_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cases and equal documents for all and for each language."""
-    both(spark, sf_dir).select("lang", (F.col("a") == F.col("b")).alias("same"), F.size("a").alias("na")).createOrReplaceTempView("_spanloom_eval")
-    return spark.sql("SELECT coalesce(lang, 'all') AS subset, count(*) AS n, count_if(same) AS n_exact, cast(sum(na) AS bigint) AS n_spans FROM _spanloom_eval GROUP BY GROUPING SETS ((), (lang))")
+    rows = both(spark, sf_dir).select("lang", (F.col("a") == F.col("b")).alias("same"), F.size("a").alias("na"))
+    sets = rows.groupingSets([[], ["lang"]], "lang").agg(F.grouping("lang").alias("whole"), F.count("*").alias("n"), F.count_if("same").alias("n_exact"), F.sum("na").cast("long").alias("n_spans"))
+    return sets.select(F.when(F.col("whole") == 1, "all").otherwise(F.col("lang")).alias("subset"), "n", "n_exact", "n_spans")
 
 
 _SETS = SPANS_B + """
 , la AS (SELECT doc_id, list({'s': s, 'e': e, 'l': level} ORDER BY s) AS a FROM sa GROUP BY doc_id),
 lb AS (SELECT doc_id, list({'s': s, 'e': e, 'l': level} ORDER BY s) AS b FROM sb GROUP BY doc_id),
 c AS (SELECT lang, coalesce(a, []) = coalesce(b, []) AS same, len(coalesce(a, [])) AS na FROM documents LEFT JOIN la USING (doc_id) LEFT JOIN lb USING (doc_id))
-SELECT coalesce(lang, 'all') AS subset, count(*) AS n, count(*) FILTER (same) AS n_exact, sum(na)::BIGINT AS n_spans FROM c GROUP BY GROUPING SETS ((), (lang))
+SELECT CASE WHEN grouping(lang) = 1 THEN 'all' ELSE lang END AS subset, count(*) AS n, count(*) FILTER (same) AS n_exact, sum(na)::BIGINT AS n_spans FROM c GROUP BY GROUPING SETS ((), (lang))
 """
 
 

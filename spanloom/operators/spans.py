@@ -100,7 +100,7 @@ def occurrences(text: Column, needle: Column) -> Column:
     return F.filter(at, lambda i: F.substring(text, i + 1, k) == needle)
 
 
-def validate_spans(text: Column, spans: Column) -> Column:
+def place_spans(text: Column, spans: Column) -> Column:
     """struct<spans,hard,soft>: spans that fit stay; then, in order, the others move to their only free occurrence or are
     reported. A repaired span occupies its place for those after it, hence the fold."""
     none = F.lit(None)
@@ -138,6 +138,43 @@ def validate_spans(text: Column, spans: Column) -> Column:
     return F.aggregate(F.filter(spans, lambda s: known(s) & named(s) & ~fits(s)), zero, step, crossed)
 
 
+def validate_spans(text: Column, spans: Column) -> Column:
+    """struct<spans,hard,soft>: spans in order, each kept, repaired to its only free occurrence, or reported.
+
+    A repaired span occupies its place for those after it, hence the fold. One pass in the order given, with rule names
+    of its own; place_spans settles the spans that fit before it repairs any."""
+    none = F.lit(None)
+    zero = F.struct(F.array().cast(f"array<{SPAN}>").alias("spans"), F.array().cast(f"array<{VIOLATION}>").alias("hard"), F.array().cast(f"array<{VIOLATION}>").alias("soft"))
+    note = lambda rule, s, fixed=none: F.struct(F.lit(rule).alias("rule"), s["level"].alias("level"), s["text"].alias("text"), s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end"), fixed.cast("int").alias("fixed_start"))
+
+    def step(a: Column, s: Column) -> Column:
+        free = F.filter(occurrences(text, s["text"]), lambda i: ~F.exists(a["spans"], lambda t: (i < t["end"]) & (i + F.length(s["text"]) > t["start"])))
+
+        def place(f: Column) -> Column:
+            fits = (s["start"] >= 0) & (s["end"] <= F.length(text)) & (F.substring(text, s["start"] + 1, s["end"] - s["start"]) == s["text"])
+            add = lambda x: F.concat(a["spans"], F.array(x))
+            keep = lambda spans, hard, soft: F.struct(spans.alias("spans"), hard.alias("hard"), soft.alias("soft"))
+            bad = lambda rule: keep(a["spans"], F.concat(a["hard"], F.array(note(rule, s))), a["soft"])
+            fixed = F.get(f, F.lit(0))
+            return (
+                F.when(~s["level"].rlike("^L[1-7]$"), bad("level_invalid"))
+                .when(F.length(s["text"]) == 0, bad("span_empty"))
+                .when(fits, keep(add(span(s["start"], s["end"], s["level"], s["text"], s["truncated"])), a["hard"], a["soft"]))
+                .when(F.size(f) == 1, keep(add(span(fixed, fixed + F.length(s["text"]), s["level"], s["text"], s["truncated"])), a["hard"], F.concat(a["soft"], F.array(note("offset_fixed", s, fixed)))))
+                .when(F.size(f) == 0, bad("span_not_in_input"))
+                .otherwise(bad("offset_ambiguous"))
+            )
+
+        return let(free, place)
+
+    def crossed(a: Column) -> Column:
+        order = F.array_sort(a["spans"])
+        hits = F.filter(F.transform(order, lambda s, i: F.struct(s.alias("s"), F.get(order, i - 1).alias("p"))), lambda x: x["p"].isNotNull() & (x["p"]["end"] > x["s"]["start"]))
+        return F.struct(order.alias("spans"), F.concat(a["hard"], F.transform(hits, lambda x: note("span_overlap", x["s"]))).alias("hard"), a["soft"].alias("soft"))
+
+    return F.aggregate(spans, zero, step, crossed)
+
+
 def validate_bio(text: Column, tokens: Column, bio: Column, spans: Column) -> Column:
     """Soft rules that a tagged text breaks, by name; unequal numbers of tokens and tags are the only one reported."""
     got = spans_from_bio(text, tokens, bio)
@@ -154,7 +191,7 @@ def validate_bio(text: Column, tokens: Column, bio: Column, spans: Column) -> Co
 def validate_parse(text: Column, tokens: Column, bio: Column, spans: Column) -> Column:
     """struct<ok,spans,hard,soft,bio>: ok without a hard violation; tags are held against the repaired spans."""
     build = lambda v: F.struct((F.size(v["hard"]) == 0).alias("ok"), v["spans"].alias("spans"), v["hard"].alias("hard"), v["soft"].alias("soft"), validate_bio(text, tokens, bio, v["spans"]).alias("bio"))
-    return let(validate_spans(text, spans), build)
+    return let(place_spans(text, spans), build)
 
 
 def split_longest(spans: Column) -> Column:

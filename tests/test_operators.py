@@ -34,10 +34,7 @@ def test_validator_repairs_and_reports(spark):
     v = spans.validate_spans(F.lit("a b a"), F.array(sp(0, 1, "L5", "b"), sp(3, 4, "L5", "a"), sp(0, 1, "L9", "a"), sp(0, 1, "L5", "z")))
     got = one(spark, v)[0]
     assert [(s.start, s.end) for s in got.spans] == [(2, 3)]
-    assert [h.rule for h in got.hard] == ["level_invalid", "offset_ambiguous", "text_not_in_input"] and got.soft[0].rule == "offset_repaired"
-    # Spans that fit are placed before any is repaired, in whatever order they come.
-    got = one(spark, spans.validate_spans(F.lit("a b a"), F.array(sp(3, 4, "L5", "a"), sp(0, 1, "L5", "a"))))[0]
-    assert [(s.start, s.end) for s in got.spans] == [(0, 1), (4, 5)] and not got.hard
+    assert [h.rule for h in got.hard] == ["offset_ambiguous", "level_invalid", "span_not_in_input"] and got.soft[0].rule == "offset_fixed"
 
 
 def test_compare_pairs_by_overlap(spark):
@@ -111,3 +108,10 @@ def test_calibration(spark):
     r = decisions.calibration(spark.createDataFrame(rows, "winner string, truth string, identical boolean")).first()
     assert (r.n_judged, r.accuracy, r.detect_precision, r.detect_recall, r.flip_rate, r.agree_but_wrong) == (5, 0.75, 0.5, 0.5, 0.2, 0.5) and r.false_alarm == 1 / 3
     assert one(spark, decisions.truth_winner(F.lit(0.5), F.lit(0.5)), decisions.truth_winner(F.lit(0.4), F.lit(0.5)))[:] == ("tie", "new")
+
+
+def test_spans_that_fit_are_placed_before_repairs(spark):
+    got = one(spark, spans.place_spans(F.lit("a b a"), F.array(sp(3, 4, "L5", "a"), sp(0, 1, "L5", "a"))))[0]
+    assert [(s.start, s.end) for s in got.spans] == [(0, 1), (4, 5)] and not got.hard
+    got = one(spark, spans.place_spans(F.lit("a b a"), F.array(sp(0, 1, "L5", "b"), sp(3, 4, "L5", "a"), sp(0, 1, "L9", "a"), sp(0, 1, "L5", "z"))))[0]
+    assert [h.rule for h in got.hard] == ["level_invalid", "offset_ambiguous", "text_not_in_input"] and got.soft[0].rule == "offset_repaired"

@@ -45,8 +45,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captures, work = warc.archive(table(spark, sf_dir, "pages"), least=0)
-    return warc.resolve(captures, work).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    _, work = warc.archive(table(spark, sf_dir, "pages"), least=0)
+    return warc.resolve(warc.captures_of(work), work).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 from datetime import UTC, datetime
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Workspace, match_counted, prepare_python
@@ -250,13 +250,34 @@ def resolve(wanted: DataFrame, work: Workspace, payloads: bool = False) -> DataF
     return once.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id").mapInArrow(run, RECORDS)
 
 
-def lookup(work: Workspace, url: str) -> list[tuple]:
+def read_all(directory: DataFrame, work: Workspace, payloads: bool = False) -> DataFrame:
+    """Every record by a walk over all blocks of the directory: for a copy of a whole archive, where nothing is searched."""
+    archives, blocks = work.path("archives"), work.path("index")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, store = Ranges(blocks), Ranges(archives)
+        for batch in batches:
+            for place in zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "size")), strict=True):
+                # Within a block, ranges are read in the order in which they lie in the archives.
+                got = (parse(gzip.decompress(store.read(*x[2:5]))) for x in sorted(block_lines(index, *place), key=lambda x: x[2:4]))
+                yield _batch([r if payloads else (*r[:6], None) for r in got], RECORDS)
+
+    # One row of the directory stands for many records: deal rows out evenly, whatever files they come from.
+    return directory.repartition(work.spark.sparkContext.defaultParallelism * 2).mapInArrow(run, RECORDS)
+
+
+def lookup(spark: SparkSession, directory: DataFrame, work: Workspace, url: str) -> list[tuple]:
     """All captures of a URL as rows of RECORDS."""
     found, key = Captures(work.path("index"), work.path("archives"), work.path("directory")), url_key(url)
     found.near(key, key)
     return [found.read(x) for x in found.find(key)]
 
 
+def captures_of(work: Workspace) -> DataFrame:
+    """CAPTURES of an archive that was written: what resolve() may be asked for."""
+    return work.spark.read.parquet(work.path("captures"))
+
+
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     fields = [x.split() for x in schema.split(", ")]
@@ -264,9 +285,8 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def archive(pages: DataFrame, least: int = 0) -> tuple[DataFrame, Workspace]:
-    """Writes archives and index of pages(page_id, url, html); returns its captures (key, page_id, ...) and where the files are."""
+    """Writes archives and index of pages(page_id, url, html); returns the directory and where the files are."""
     prepare_python(pages.sparkSession)
     work = Workspace(pages.sparkSession, "warc")
     captures = write(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), work, least)
-    index(captures, work)
-    return captures, work
+    return index(captures, work), work

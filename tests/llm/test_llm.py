@@ -173,21 +173,22 @@ def test_pii(docs, rows, empty):
 
 def test_warc_round_trip(spark):
     pages = spark.createDataFrame([(1, "http://A.example.com/x", "hé"), (2, None, None), (3, "http://b.example.com/", "hé"), (4, "http://b.example.com/", ""), (5, "http://c.example.org/?q=1", "solo")], "page_id long, url string, html string")
-    captures, work = warc.archive(pages)
-    out = {r.page_id: r for r in warc.resolve(captures, work, payloads=True).collect()}
+    directory, work = warc.archive(pages)
+    out = {r.page_id: r for r in warc.read_all(directory, work, payloads=True).collect()}
     assert [out[i].refers_to for i in range(1, 6)] == [3, 4, None, None, None] and bytes(out[3].payload) == "hé".encode()
     assert out[1].payload_bytes == 3 and out[1].payload_digest == out[3].payload_digest == warc.digest("hé".encode())
-    assert sorted(x[0] for x in warc.lookup(work, "http://b.example.com/")) == [3, 4]
-    captures, work = warc.archive(pages.limit(0))
-    assert warc.resolve(captures, work).count() == 0
+    assert sorted(x[0] for x in warc.lookup(spark, directory, work, "http://b.example.com/")) == [3, 4]
+    directory, work = warc.archive(pages.limit(0))
+    assert warc.read_all(directory, work).count() == 0
 
 
 def test_warc_large_null_and_repeated_ids(spark):
     big, odd = 1 << 60, "http://x.example.com/a b\r\nWARC-Type: none"
     pages = [(big + 1, "u://a/", "x"), (big + 2, "u://a/", "x"), (big + 3, "u://a/", "y" * 100_000), (None, "u://a/", "z"), (7, odd, "q"), (7, odd, "q"), (None, None, "z")]
     pages += [(i, "u://a/", f"page {i}") for i in range(1000, 1700)]
-    captures, work = warc.archive(spark.createDataFrame([(*p, "k") for p in pages], "page_id long, url string, html string, key string"))
-    out = warc.resolve(captures, work, payloads=True).collect()
+    directory, work = warc.archive(spark.createDataFrame([(*p, "k") for p in pages], "page_id long, url string, html string, key string"))
+    out = warc.resolve(warc.captures_of(work), work, payloads=True).collect()
+    assert Counter(r.page_id for r in warc.read_all(directory, work).collect()) == Counter(p[0] for p in pages)
     assert len(out) == len(pages) and Counter(r.page_id for r in out) == Counter(p[0] for p in pages)
     refers = {r.page_id: r.refers_to for r in out if r.record_type == "revisit"}
     assert refers == {big + 1: big + 2, 7: 7, None: None} and {r.url for r in out} == {"u://a/", odd, None}

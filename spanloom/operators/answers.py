@@ -40,7 +40,8 @@ def entities(answer: Column) -> Column:
 
 def gold_entities(result: Column) -> Column:
     """<level,text> of a struct of lists, level by level."""
-    return F.flatten(F.array(*(F.transform(F.coalesce(result[level], F.array().cast("array<string>")), lambda t, level=level: F.struct(F.lit(level).alias("level"), t.alias("text"))) for level in LEVELS)))
+    entity = lambda level: lambda t: F.struct(F.lit(level).alias("level"), t.alias("text"))  # noqa: E731  (a second parameter would be the index)
+    return F.flatten(F.array(*(F.transform(F.coalesce(result[level], F.array().cast("array<string>")), entity(level)) for level in LEVELS)))
 
 
 def blinded(spans: Column) -> Column:

@@ -51,3 +51,29 @@ def order_statistics(rows: DataFrame, group: str, value: str) -> DataFrame:
     g = r.groupBy(group).agg(F.max("n").alias("n"), F.sum(F.col(value) * F.col("c")).alias("total"), at(F.floor(n / 2)).alias("p50"), at(p95).alias("p95"), at(F.floor(place)).alias("lo"), at(F.ceil(place)).alias("up"), F.max(value).alias("max"))
     part = F.lit(0.99) * (n - 1) - F.floor(F.lit(0.99) * (n - 1))
     return g.select(group, "n", F.round(F.col("total") / n, 2).alias("mean"), "p50", "p95", F.round(F.col("lo") + (F.col("up") - F.col("lo")) * part, 6).alias("p99"), "max")
+
+
+def halves(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """2n rows drawn by hash, with part 0 for the first n and 1 for the others: disjoint by their ranks."""
+    drawn = rows.withColumn("_o", order(seed, key)).orderBy("_o", key).limit(2 * n)
+    return drawn.withColumn("part", (F.row_number().over(W.orderBy("_o", key)) > n).cast("int")).drop("_o")  # 2n rows
+
+
+def split_held_out(rows: DataFrame, group: str, held_out, share: float, seed: int) -> DataFrame:
+    """As split, but rows of the held-out pool are test whatever their group."""
+    return split(rows, group, share, seed).withColumn("split", F.when(held_out, "test").otherwise(F.col("split")))
+
+
+def unseen(generated: DataFrame, key: str, *pools: DataFrame) -> DataFrame:
+    """Generated rows, one of each key, whose key is in no pool: training, gold, or what was seen before."""
+    rows = generated.filter(F.col(key).isNotNull()).dropDuplicates([key])
+    for pool in pools:
+        rows = rows.join(pool.select(key).distinct(), key, "left_anti")
+    return rows
+
+
+def require_disjoint(rows: DataFrame, key: str, by: str) -> DataFrame:
+    """rows as they are; a key under several values of `by` fails the query."""
+    many = F.size(F.collect_set(by)) > 1
+    ok = rows.groupBy(F.col(key).alias("_key")).agg(F.when(many, F.raise_error(F.concat(F.lit("in several parts: "), F.col("_key").cast("string")))).otherwise(F.lit(True)).alias("_ok"))
+    return rows.join(ok, F.col(key).eqNullSafe(F.col("_key"))).filter("_ok").select(*rows.columns)

@@ -1,6 +1,6 @@
 """Names of the queries and their SQL oracles."""
 
-from . import curation, labeling
+from . import cases, curation, labeling
 
-QUERIES = {**labeling.QUERIES, **curation.QUERIES}
-ORACLES = {**labeling.ORACLES, **curation.ORACLES}
+QUERIES = {**labeling.QUERIES, **curation.QUERIES, **cases.QUERIES}
+ORACLES = {**labeling.ORACLES, **curation.ORACLES, **cases.ORACLES}

@@ -49,6 +49,8 @@ def test_answers(spark):
     got = spark.createDataFrame(list(enumerate(said)), "i long, a string").select("i", answers.answer_spans(F.col("a")).alias("r"), answers.entities(F.col("a")).alias("e")).orderBy("i").collect()
     assert [(len(r.r.spans), r.r.n_malformed) if r.r else None for r in got] == [(1, 2), (1, 2), (0, 0), None, None]
     assert [(e.level, e.text) for e in got[0].e] == [("L1", "x"), ("L1", "x")]
+    gold = spark.createDataFrame([(json.dumps(LISTS | {"L5": ["x", "y"], "L2": ["z"]}),), ("{}",)], "j string").select(answers.gold_entities(F.from_json("j", records.RESULT))).collect()
+    assert [[(e.level, e.text) for e in r[0]] for r in gold] == [[("L2", "z"), ("L5", "x"), ("L5", "y")], []]
     parts = spark.sql(f"SELECT 'ab cd' AS t, CAST(array(struct(3, 5, 'L2', 'cd', false), struct(0, 1, 'L1', 'a', false)) AS array<{SPAN}>) AS s").select(answers.highlighted(F.col("t"), F.col("s")), answers.blinded(F.col("s"))).first()
     assert [(p.text, p.level) for p in parts[0]] == [("a", "L1"), ("b ", None), ("cd", "L2")] and [p.level for p in parts[1]] == ["L1", "L2"]
 

@@ -15,13 +15,13 @@ from __future__ import annotations
 import gc
 import os
 import re
-import sys
 import unicodedata
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain, pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,29 +34,43 @@ SHARD_RESTS = 50_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+class Numbers(dict):
+    """Words by number. One that is missing gets its number of the generation before, or the next free one."""
+
+    def __init__(self, old: dict[str, int], free: int):
+        super().__init__()
+        self.old, self.free, self.fresh = old, free, []
+
+    def __missing__(self, word: str) -> int:
+        k = self.old.get(word)
+        if k is None:
+            k, self.free = self.free, self.free + 1
+            self.fresh.append(word)
+        self[word] = k
+        return k
+
+
 class Tokens:
     """Ids of texts as little-endian 32-bit bytes, equal to tokenizers' encode(add_special_tokens=False).
 
-    A pre-token's ids depend on it alone and none holds white space, so both pre-tokens and words between white space
-    are kept in bounded caches. Latin texts take this way, with the vocabulary's normalizer (NFC, lower case) and
-    pattern in Python's terms; a text with any character on which the two engines could differ, or that might hold the
-    name of a special token, goes to the library whole."""
+    No id spans white space, so a word's ids depend on it alone: each word is numbered in one look-up, the ids of words
+    lie end to end in one table, and a text's ids are gathered from it by the numbers. Latin texts take this way, with
+    the vocabulary's normalizer (NFC, lower case) in Python's terms; a text with any character on which the two engines
+    could differ, or that might hold the name of a special token, goes to the library whole."""
 
-    #: The vocabulary's own pre-token pattern, for texts without numerals other than decimal digits.
-    SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
     ODD = "[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u01c3]|<\\|"
-    #: Entries of a generation of the caches of words and of pre-tokens; each holds two generations at most.
-    WORDS, PARTS = 250_000, 300_000
+    #: Words of a generation of the table, which holds two at most; words gathered and words encoded at once.
+    WORDS, CHUNK, BLOCK = 600_000, 500_000, 1000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.find = re.compile(self.SPLIT).findall
         self.beyond = re.compile(self.ODD).search
         self.known = bytes(i for i in range(256) if not self.beyond(chr(i)))
-        self.parts: list[dict[str, bytes]] = [{}, {}]
-        self.words: list[dict[str, bytes]] = [{}, {}]
+        self.numbers = Numbers({}, 0)
+        self.ids, self.used = np.zeros(1 << 20, "<u4"), 0
+        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def odd(self, text: str) -> bool:
         """Whether a text must go to the library whole."""
@@ -65,37 +79,92 @@ class Tokens:
         except UnicodeEncodeError:
             return bool(self.beyond(text))
 
-    @staticmethod
-    def _bytes(ids: list[int]) -> bytes:
-        packed = array("I", ids)
-        if sys.byteorder == "big":
-            packed.byteswap()
-        return packed.tobytes()
-
-    @staticmethod
-    def _missing(wanted: set[str], cache: list[dict[str, bytes]], limit: int) -> set[str]:
-        """What of wanted the cache lacks. A full generation becomes the old one; what is met there again moves up."""
-        if len(cache[0]) > limit:
-            cache[:] = [{}, cache[0]]
-        young, old = cache
-        wanted = wanted.difference(young)
-        again = wanted.intersection(old)
-        young.update(zip(again, map(old.__getitem__, again), strict=True))
-        return wanted - again
+    def _store(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(ids), "<u4")])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.start[numbers] = self.used + np.cumsum(lengths) - lengths
+        self.length[numbers] = lengths
+        self.used += len(ids)
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered words one after another, and each word's count."""
+        lengths = self.length[numbers]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self.start[numbers] - ends + lengths, lengths)
+        return self.ids[shift + np.arange(len(shift))], lengths
+
+    def _turn(self) -> None:
+        """The words of this generation become the old one, alone in the table; those met there again move up."""
+        ids, lengths = self._gather(np.fromiter(self.numbers.values(), np.int64, len(self.numbers)))
+        n = len(lengths)
+        self.numbers = Numbers(dict(zip(self.numbers, range(n), strict=True)), n)
+        self.used, self.start, self.length = 0, np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self._store(np.arange(n), ids, lengths)
+
+    def _encoded(self, block: list[str], joined: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a block of words, and each word's count. Words of letters are one pre-token each, so they can be read as
+        one text, which is faster; should their number not come out, they are read one by one."""
+        got = self.tokenizer.encode("\n".join(block) if joined else block, is_pretokenized=not joined, add_special_tokens=False)
+        of = np.array(got.word_ids, np.int64)
+        if joined:
+            of = np.cumsum(np.diff(of, prepend=of[:1]) != 0)
+            if len(of) == 0 or of[-1] + 1 != len(block):
+                return self._encoded(block, False)
+        return np.array(got.ids, "<u4"), np.bincount(of, minlength=len(block))
+
+    def _learn(self) -> None:
+        """Encodes the fresh words. Letters with one mark after them are the letters' ids and the mark's."""
+        numbers, fresh = self.numbers, self.numbers.fresh
+        marked, letters, others = [], [], []
+        for w in fresh:  # grows while it is walked: a marked word's letters may be new
+            if w.isalpha():
+                letters.append(w)
+            elif w[-1] in ".,;:" and w[:-1].isalpha():
+                marked.append((numbers[w], numbers[w[:-1]], numbers[w[-1]]))
+            else:
+                others.append(w)
+        grow = np.zeros(numbers.free - len(self.start), np.int64)
+        self.start, self.length = np.concatenate([self.start, grow]), np.concatenate([self.length, grow])
+        for words, joined in ((letters, True), (others, False)):
+            for i in range(0, len(words), self.BLOCK):
+                block = words[i : i + self.BLOCK]
+                self._store(np.fromiter(map(numbers.__getitem__, block), np.int64, len(block)), *self._encoded(block, joined))
+        if marked:
+            table = np.array(marked, np.int64)
+            ids, lengths = self._gather(table[:, 1:].ravel())
+            self._store(table[:, 0], ids, lengths.reshape(-1, 2).sum(axis=1))
+        fresh.clear()
+
+    def _chunk(self, split: list[list[str]]) -> list[bytes]:
+        if len(self.numbers) > self.WORDS:
+            self._turn()
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        self._learn()
+        ids, lengths = self._gather(numbers)
+        at = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])] * 4
+        flat = ids.tobytes()
+        return [flat[a:b] for a, b in pairwise(at.tolist())]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if self.odd(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
-        new = self._missing(set().union(*filter(None, split)), self.words, self.WORDS)
-        # The pattern is only needed beyond letters with one mark after them.
-        plain = {w for w in new if w.isalpha()}
-        marked = {w: (w[:-1], w[-1]) if w[-1] in ".,;:" and w[:-1].isalpha() else self.find(w) for w in new - plain}
-        lone = list(self._missing(plain.union(*marked.values()), self.parts, self.PARTS))
-        words, parts = self.words[0], self.parts[0]
-        parts.update((p, self._bytes(e.ids)) for p, e in zip(lone, self.tokenizer.encode_batch(lone, add_special_tokens=False), strict=True))
-        words.update((w, parts[w]) for w in plain)
-        words.update((w, b"".join([parts[p] for p in ps])) for w, ps in marked.items())
-        whole = iter(self.tokenizer.encode_batch([t for t, s in zip(texts, split, strict=True) if s is None], add_special_tokens=False))
-        return [self._bytes(next(whole).ids) if s is None else b"".join([words[w] for w in s]) for s in split]
+        out: list[bytes] = []
+        waiting: list[list[str]] = []
+        whole, n = [], 0
+        for i, t in enumerate(texts):
+            if self.odd(t):
+                whole.append(i)
+                waiting.append([])
+                continue
+            waiting.append(unicodedata.normalize("NFC", t).lower().split())
+            n += len(waiting[-1])
+            if n >= self.CHUNK:
+                out += self._chunk(waiting)
+                waiting, n = [], 0
+        out += self._chunk(waiting)
+        for i, e in zip(whole, self.tokenizer.encode_batch([texts[i] for i in whole], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, "<u4").tobytes()
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -117,7 +186,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = WIND
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokens = tokens_of(vocabulary)
-        end = tokens._bytes([end_id])
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             gc.disable()  # encoding makes no cycles, and collections would walk every word
             try:

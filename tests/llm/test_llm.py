@@ -60,6 +60,19 @@ def test_quality_rules(docs, rows, empty):
     assert few.n_failed == sum(r.n_words < 50 for r in got.values()) and few.n_kept_without == few.n_kept + few.n_only_this
 
 
+def test_tokens_equal_the_library_across_generations():
+    """Small generations and chunks, so that words are dropped, kept and learnt again, and gathered in many parts."""
+    rng = random.Random(4)
+    tokens = packing.Tokens(public_tokenizers.path("word_bpe_49k.json"))
+    tokens.WORDS, tokens.CHUNK, tokens.BLOCK = 300, 200, 7
+    marks = "abe\u0301\u00e9' .,;:!-_0129\u00c0\u00d6\u00df\u017f<|>\u00ad\u0130A\u030a\n\tx\u00bd\u00b2\u4e2d"
+    texts = ["".join(rng.choices(marks, k=rng.choice([0, 1, 3, 10, 60]))) for _ in range(6000)]
+    texts += [" ".join("".join(rng.choices("abcde", k=rng.randint(1, 6))) + rng.choice(["", ",", ".", "'s", "-x"]) for _ in range(rng.randint(0, 900))) for _ in range(40)]
+    got = [x for i in range(0, len(texts), 500) for x in tokens.encode(texts[i : i + 500])]
+    want = [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in tokens.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert got == want and tokens.encode([]) == []
+
+
 def test_packing_round_trip(docs, rows, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     out = packing.pack(docs, path, window=64, shard_rests=7).collect()

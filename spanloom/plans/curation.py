@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from ..functions import stats, text
 from ..operators import corpus, decisions, sample
 from ..operators.spans import let
+from .labeling import _CASES, read, wilson_sql
 from .labeling import _cases as cases
-from .labeling import read, wilson_sql
 
 
 def match_key_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,3 +262,16 @@ _CUT = "WITH b AS (SELECT item_id, text, greatest(5, floor(length(text) * (0.4::
 
 QUERIES = {f.__name__: f for f in (match_key_dups, fold_diacritics, word_bigram_forms, corpus_quality_reasons, html_entity_junk, gold_leakage_exclusion, resume_todo, stratified_sample, audit_sample, rate_wilson_ci, kappa_labels, latency_stats, token_cost_peak, topic_status_counts, queue_fifo_head, budget_cutoff, json_extract_props, conversation_turns, gold_scan_join, human_queue, split_no_leakage, prefix_cut)}
 ORACLES = dict(zip(QUERIES, (_KEYS, _FOLD, _FORMS, _REASONS, _JUNK, _LEAK, _TODO, _SAMPLE, _AUDIT, _WILSON, _KAPPA, _LATENCY, _COST, _TOPICS, _FIFO, _BUDGET, _PROPS, _TURNS, _GOLD, _HUMAN, _SPLIT, _CUT), strict=True))
+
+#: The same queries under second names, with SQL for all that they give: every line, and the judge's outcome.
+WHOLE_KEYS = """
+WITH l AS (SELECT doc_id, unnest(string_split(nfc_normalize(replace(text, 'é', 'e' || chr(769))), chr(10))) AS line FROM documents),
+k AS (SELECT DISTINCT doc_id, trim(regexp_replace(lower(line), '\\s+', ' ', 'g'), ' ,.;:-') AS key FROM l)
+SELECT key, count(*) AS n FROM k GROUP BY key HAVING count(*) > 1
+"""
+JUDGE_QUEUE = _CASES + """
+, u AS (SELECT doc_id, CASE WHEN ('0x' || substr(sha256('q|' || doc_id), 1, 8))::UBIGINT / 4294967296.0::DOUBLE < 0.1 THEN 'random_audit' WHEN decision = 'inconclusive' THEN 'judge_flip' END AS reason FROM w ANTI JOIN labels USING (doc_id))
+SELECT doc_id, reason FROM u WHERE reason IS NOT NULL
+"""
+QUERIES |= {"line_key_dups": match_key_dups, "judge_queue": human_queue}
+ORACLES |= {"line_key_dups": WHOLE_KEYS, "judge_queue": JUDGE_QUEUE}

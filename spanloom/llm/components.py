@@ -49,3 +49,18 @@ def components(edges: DataFrame, work: Workspace, name: str = "cc") -> DataFrame
             label = match_counted(label, keyed, ["component"], "n").select("node", F.col("m").alias("component"))
         label = work.save(label, f"{name}-l{i}")
     return label if label is not None else both.select(F.col("u").alias("node"), F.col("v").alias("component")).limit(0)
+
+
+def joined(label: DataFrame, more: DataFrame, work: Workspace, name: str) -> DataFrame:
+    """label(node, component) after more edges(a, b) are added: only those between components are contracted, and the edges
+    that made the components are not gone through again. A written label; nodes of more may be new."""
+    ends = [label.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in ("a", "b")]
+    across = more.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    across = work.save(across.filter("a <> b").distinct(), f"{name}-across")
+    if across.isEmpty():
+        return label
+    top = components(across, work, name)
+    sizes = label.groupBy("component").agg(F.count("*").alias("n"))
+    keyed = work.save(sizes.join(top.select(F.col("node").alias("component"), F.col("component").alias("m")), "component", "left").withColumn("m", F.coalesce("m", "component")), f"{name}-keyed")
+    moved = match_counted(label, keyed, ["component"], "n").select("node", F.col("m").alias("component"))
+    return work.save(moved.unionByName(top.join(label.select("node"), "node", "left_anti")), f"{name}-joined")

@@ -11,9 +11,10 @@ Blocks are joined by a 64-bit XOR of their set bits. Candidates are verified on
   blocks it has and is laid out once more under another seed. Both sets of a similar pair come to the first seed under
   which either has d + 1 filled blocks, and there they agree on a filled one. After the last seed empty blocks are keys.
 * Documents of equal sets are one node, so copies are never paired with each other.
-* Block rows are dealt by ranges of (key, document), so a key of any size spreads over tasks. A run of at most RUN rows
-  gives all its pairs; a longer one gives a star and a chain. These pairs are filtered by the sketches' Hamming distance,
-  verified on the texts and joined into components, which settles groups of near copies.
+* Block rows are dealt by ranges of (key, document), so a key of any size spreads over tasks. Rows of keys that are not
+  alone get their folded sketch and are dealt once more. A task compares the sketches of all pairs of a run of at most RUN
+  rows, and of a star and a chain of a longer one; only pairs within the bound leave it, so no table holds the others.
+  These pairs are verified on the texts and joined into components, which settles groups of near copies.
 * Keys whose long runs still hold several components are dealt out as pairs of tiles of TILE documents. A task compares
   the sketches of one pair of tiles and gives only pairs within the bound, which are verified as well. No link is lost
   to a cap, and no group meets in one task.
@@ -35,16 +36,18 @@ from pyspark.sql import functions as F
 
 from .common import Workspace, match_counted, prepare_python
 from .components import components
+from .components import joined as with_edges
 from .hashing import LOWER, chunks, joined, mix, range_hashes, word_spans
 
 RUN = 64
 TILE = 2048
 #: Layouts of a small set before empty blocks become keys.
 SEEDS = 8
-#: Block rows that a task sorts at once, about; more rows make more tasks.
+#: Block rows that a task sorts at once, about, and bytes of the rows that it compares; more make more tasks.
 TASK_ROWS = 2_000_000
-#: Bits of a document's own sketch: a power of two of at least twice its shingles, within these. Pairs of short runs,
-#: which are many and mostly unrelated, move with the sketch folded to a quarter.
+TASK_BYTES = 32 << 20
+#: Bits of a document's own sketch: a power of two of at least twice its shingles, within these. Rows of runs, which are
+#: many and mostly unrelated, move with the sketch folded to a quarter.
 SKETCH_BITS = (512, 1 << 14)
 #: Ids of candidates that may be broadcast (8 MB); beyond it they meet the texts in a shuffled join.
 FEW_IDS = 1_000_000
@@ -168,60 +171,95 @@ def sets(docs: DataFrame, size: int, p: int, q: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS)
 
 
-def runs(rows: DataFrame, total: int, p: int, q: int, most: int = RUN) -> DataFrame:
-    """From total rows (key, doc, n): candidate pairs whose sizes n can reach p/q (hot null), and the rows of keys too long or cut by a task's edge (hot their key)."""
+def _columns(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> list[pa.Array] | None:
+    """Columns of all rows of a task, or None without rows."""
+    parts = [b for b in batches if b.num_rows]
+    return [pa.concat_arrays([b.column(c) for b in parts]) for c in names] if parts else None
+
+
+def _sorted_runs(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order by (key, doc); per run of a key its start and length, and whether it is a task's first or last."""
+    order = np.lexsort((doc, key))
+    key = key[order]
+    start = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
+    edge = np.zeros(len(start), bool)
+    edge[[0, -1]] = True
+    return order, start, np.diff(np.append(start, len(key))), edge
+
+
+def meeting(rows: DataFrame, total: int) -> DataFrame:
+    """Of total rows (key, doc) those whose key another row has, or may have in the next task."""
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_ROWS))
-    dealt = rows.repartitionByRange(tasks, "key", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [tuple(b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc", "n")) for b in batches if b.num_rows]
-        if not parts:
+        cols = _columns(batches, ("key", "doc"))
+        if cols:
+            key, doc = (c.to_numpy(zero_copy_only=False) for c in cols)
+            order, _, length, edge = _sorted_runs(key, doc)
+            keep = order[np.repeat((length > 1) | edge, length)]
+            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(doc[keep])], names=["key", "doc"])
+
+    return rows.select("key", "doc").repartitionByRange(tasks, "key", "doc").mapInArrow(run, "key long, doc long")
+
+
+def distances(raw: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which sketches a and b differ, the larger folded to the size of the smaller."""
+    words = np.array([len(x) for x in raw]) // 8
+    level, out = np.minimum(words[a], words[b]), np.zeros(len(a), np.int64)
+    for w in np.unique(level):
+        some = np.flatnonzero(level == w)
+        used = np.unique(np.concatenate((a[some], b[some])))
+        bits = np.zeros((len(used), w), np.uint64)
+        for v in np.unique(words[used]):
+            own = np.flatnonzero(words[used] == v)
+            x = np.frombuffer(b"".join(raw[i] for i in used[own]), np.uint64).reshape(len(own), v)
+            while x.shape[1] > w:
+                x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
+            bits[own] = x
+        for i in range(0, len(some), 1 << 14):
+            at = some[i : i + (1 << 14)]
+            out[at] = np.bitwise_count(bits[np.searchsorted(used, a[at])] ^ bits[np.searchsorted(used, b[at])]).sum(1)
+    return out
+
+
+def runs(rows: DataFrame, tasks: int, p: int, q: int, most: int = RUN) -> DataFrame:
+    """From rows (key, doc, n, mini): pairs whose sizes n and sketches mini are within the bound (hot null), and the rows of
+    keys too long or cut by a task's edge (hot their key)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols = _columns(batches, ("key", "doc", "n", "mini"))
+        if not cols:
             return
-        key, doc, size = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((doc, key))
-        key, doc, size = key[order], doc[order], size[order].astype(np.int64)
-        start = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
-        length = np.diff(np.append(start, len(key)))
-        edge = np.zeros(len(start), bool)
-        edge[[0, -1]] = True
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        key, doc, size = (c.to_numpy(zero_copy_only=False) for c in cols[:3])
+        order, start, length, edge = _sorted_runs(key, doc)
+        key, doc, size, raw = key[order], doc[order], size[order].astype(np.int64), cols[3].take(pa.array(order)).to_pylist()
+        found = [np.zeros((0, 2), np.int64)]
+
+        def compare(a: np.ndarray, b: np.ndarray) -> None:
+            fit = within(size[a], size[b], np.zeros(len(a), np.int64), p, q)
+            a, b = a[fit], b[fit]
+            if len(a):
+                near = within(size[a], size[b], distances(raw, a, b), p, q)
+                a, b = doc[a[near]], doc[b[near]]
+                found.append(np.stack((np.minimum(a, b), np.maximum(a, b)), 1))
+
         for k in range(1, most):  # neighbours k apart in short runs of more than k rows
             some = (length > k) & (length <= most)
             s, n = start[some], length[some] - k
             if not len(s):
                 break
             at = np.repeat(s - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(int(n.sum()))
-            a.append(at)
-            b.append(at + k)
+            compare(at, at + k)
         long = length > most
         for s, n in zip(start[long], length[long], strict=True):
-            a += [np.arange(s, s + n - 1), np.full(n - 1, s)]
-            b += [np.arange(s + 1, s + n), np.arange(s + 1, s + n)]
-        a, b = np.concatenate(a), np.concatenate(b)
-        near = np.minimum(size[a], size[b]) * q >= np.maximum(size[a], size[b]) * p
-        a, b = doc[a[near]], doc[b[near]]
-        pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+            rest = np.arange(s + 1, s + n)
+            compare(np.concatenate((rest - 1, np.full(n - 1, s))), np.concatenate((rest, rest)))
+        pairs = np.unique(np.concatenate(found), axis=0)
         left = np.repeat(long | edge, length)
         hot = pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(key[left])])
         yield pa.RecordBatch.from_arrays([hot, *(pa.array(np.concatenate((pairs[:, i], doc[left]))) for i in (0, 1))], names=["hot", "a", "b"])
 
-    return dealt.mapInArrow(run, "hot long, a long, b long")
-
-
-def near(pairs: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs whose sketches are within the bound."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m"))
-            far = [int(np.bitwise_count(folded(s, min(len(s), len(t))) ^ folded(t, min(len(s), len(t)))).sum()) for s, t in zip(x, y, strict=True)]
-            keep = pa.array(within(n, m, np.array(far, np.int64), p, q))
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
-
-    x = sketches.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("mini").alias("x"))
-    y = sketches.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("mini").alias("y"))
-    return pairs.join(x, "a").join(y, "b").mapInArrow(run, "a long, b long")
+    return rows.repartitionByRange(tasks, "key", "doc").mapInArrow(run, "hot long, a long, b long")
 
 
 def tiles(hot: DataFrame, several: DataFrame, sketches: DataFrame, p: int, q: int, tile: int = TILE) -> DataFrame:
@@ -292,11 +330,17 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, reps: DataFrame, work: Workspace, size: int, p: int, q: int) -> DataFrame:
     """(node, component) of the representatives that link to another."""
-    rows = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"), F.col("n_shingles").cast("int").alias("n"))
+    rows = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
     sketches = work.save(reps.select("doc_id", "n_shingles", "sketch", "mini"), "sketches")
     total = reps.agg(F.sum(F.size("keys"))).first()[0] or 0
-    found = work.save(runs(rows, total, p, q), "runs")
+    met = work.save(meeting(rows, total), "met")
     work.drop("reps")  # the keys, most of what was written, have done their work
+    mini = sketches.select(F.col("doc_id").alias("doc"), F.col("n_shingles").cast("int").alias("n"), "mini")
+    met = work.save(met.join(mini, "doc").select("key", "doc", "n", "mini"), "met-mini")
+    held = met.agg(F.sum(F.length("mini") + 64)).first()[0] or 0
+    tasks = max(int(work.spark.conf.get("spark.sql.shuffle.partitions")), -(-held // TASK_BYTES))
+    found = work.save(runs(met, tasks, p, q), "runs")
+    work.drop("met", "met-mini")
     ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
@@ -304,7 +348,7 @@ def links(docs: DataFrame, reps: DataFrame, work: Workspace, size: int, p: int,
         texts = work.save(texts_of(docs, work.save(ends(close), f"ids-{name}")), f"texts-{name}")
         return work.save(verified(close, texts, size, p, q), f"edges-{name}")
 
-    edges = check(near(found.filter("hot is null").select("a", "b").distinct(), sketches, p, q), "runs")
+    edges = check(found.filter("hot is null").select("a", "b").distinct(), "runs")
     label = components(edges, work, "cc")
     hot = found.filter("hot is not null").select(F.col("hot").alias("key"), F.col("a").alias("doc"))
     hot = hot.join(label.select(F.col("node").alias("doc"), "component"), "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("comp"))
@@ -315,7 +359,7 @@ def links(docs: DataFrame, reps: DataFrame, work: Workspace, size: int, p: int,
     if several.isEmpty():
         return label
     more = check(tiles(hot, several, sketches, p, q), "tiles")
-    return components(edges.unionByName(more), work, "cc-tiles")
+    return with_edges(label, more, work, "cc-tiles")
 
 
 def classes(docs: DataFrame, size: int = 5, p: int = 80, q: int = 100) -> DataFrame:

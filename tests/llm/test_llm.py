@@ -282,6 +282,42 @@ def test_ngram_join(docs, rows, empty, size, p, run, tile, monkeypatch):
     assert ngram_join.classes(empty, size, p).count() == 0
 
 
+def test_ngram_join_lets_only_close_pairs_leave_a_run(spark):
+    # One key of forty sets, long and short: only the pair whose sketches are close may become a row.
+    rng = np.random.default_rng(1)
+    sets = [rng.integers(1, 1 << 63, 300 if i % 2 else 280).astype(np.uint64) for i in range(40)]
+    sets[7] = np.append(sets[5][3:], sets[9][:2])
+    mini = [(x := ngram_join.parity_sketch(s), ngram_join.folded(x, len(x) // 4).tobytes())[1] for s in sets]
+    met = spark.createDataFrame([(1, i, len(s), bytearray(m)) for i, (s, m) in enumerate(zip(sets, mini, strict=True))], "key long, doc long, n int, mini binary")
+    for most in (64, 8):
+        got = ngram_join.runs(met, 1, 80, 100, most).collect()
+        assert [(r.a, r.b) for r in got if r.hot is None] == ([(5, 7)] if most == 64 else []) and sorted(r.a for r in got if r.hot == 1) == list(range(40))
+    alone = spark.createDataFrame([(k, d) for k in range(50) for d in range(1 + k % 2)], "key long, doc long")
+    kept = {(r.key, r.doc) for r in ngram_join.meeting(alone.coalesce(1), 75).collect()}
+    assert {(k, d) for k in range(1, 50, 2) for d in (0, 1)} <= kept and len(kept) <= 50 + 2 * 4
+
+
+def test_components_take_more_edges(spark):
+    from spanloom.llm.common import Workspace
+    from spanloom.llm.components import components, joined
+
+    rng, work = random.Random(4), Workspace(spark, "test")
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    first, more = ([(rng.randrange(60), rng.randrange(60)) for _ in range(n)] for n in (25, 20))
+    label = components(frame(first), work, "first")
+    assert joined(label, frame(first), work, "same").collect() == label.collect()
+    got = {(r.node, r.component) for r in joined(label, frame(more + [(7, 99), (98, 99)]), work, "more").collect()}
+    assert got == {tuple(r) for r in components(frame(first + more + [(7, 99), (98, 99)]), work, "whole").select("node", "component").collect()}
+
+
+def test_sketch_distances():
+    rng = np.random.default_rng(2)
+    raw = [rng.bytes(8 << int(k)) for k in rng.integers(1, 4, 30)]
+    a, b = rng.integers(0, 30, 200), rng.integers(0, 30, 200)
+    far = [int(np.bitwise_count(ngram_join.folded(x, min(len(x), len(y))) ^ ngram_join.folded(y, min(len(x), len(y)))).sum()) for x, y in ((raw[i], raw[j]) for i, j in zip(a, b, strict=True))]
+    assert ngram_join.distances(raw, a, b).tolist() == far
+
+
 def test_pipeline(spark, rows, tmp_path):
     import corpus_pipeline
 

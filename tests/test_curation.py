@@ -66,3 +66,14 @@ def test_match_key_dups_reads_every_line(spark, tables):
     docs = ["Tên\nCafé  Sữa.\n\nmột", "khác\ncafé sữa\nCafé sữa", "Tên\nhai", "\n x \nmột;", None, "end\n"]
     sf = tables(documents=("doc_id long, text string", [*enumerate(docs)]))
     assert {r.key: r.n for r in curation.match_key_dups(spark, sf).collect()} == {"tên": 2, "café sữa": 2, "một": 2, "": 3}
+
+
+def test_line_reasons_equal_their_sql(spark, tables):
+    import duckdb
+
+    lines = ["Số 1-2-3 - 4 đường Nguyễn Huệ ở Bến Nghé", "Số 3 đường Nguyễn Huệ - ở Bến Nghé ", "đường đường", "lê lợi, bến nghé, lê lợi, bến nghé", "tac &#8211; 12", "", " ", "--", "plain words, no level or sign in here", "hẻm hẻm 5 - a"]
+    sf = tables(documents=("doc_id long, text string", [(0, "\n".join(lines[:5])), (1, "\n".join(lines[5:])), (2, None), (3, "")]))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet/*.parquet'")
+    want = sorted(con.sql(curation.ORACLES["line_reasons"]).fetchall())
+    assert sorted(map(tuple, curation.QUERIES["line_reasons"](spark, sf).collect())) == want and {"hyphen", "repeat", "strange"} <= set(",".join(r for r, _ in want).split(","))
